@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from wattgrade.functions.scalars import half_up, squared_error
 from wattgrade.operators.features import bins_needed, fit_preparation
 from wattgrade.operators.stats import r_squared, rmse
+from wattgrade.session import shared_root
 
 FOREST, BOOSTED = "RandomForest", "GBT"
 
@@ -46,7 +47,11 @@ def train(
     size: TreeSize = TreeSize(),
     one_hot: bool = False,
 ) -> FittedModels:
-    """Fit the preparation once, keep its output, and fit every requested model on it."""
+    """Fit the preparation once, keep its output, and fit every requested model on it.
+
+    Boosting cuts its lineage in the checkpoint folder every ten trees.
+    """
+    shared_root(rows.sparkSession)
     preparation = fit_preparation(rows, categoricals, numerics, one_hot)
     bins = bins_needed(preparation, one_hot)
     prepared = preparation.transform(rows).select(target, "features").persist(StorageLevel.MEMORY_AND_DISK)

@@ -138,11 +138,13 @@ def gaussian_density(
     minimum: int = 10,
     scale: GradeScale = GRADES,
     digits: int = 8,
+    points_per_pass: int = 90,
 ) -> DataFrame:
     """(grade, x, density) with Scott's bandwidth, for grades with more than ``minimum`` rows.
 
     Bandwidths are at most one row per label of the scale, so their broadcast is bounded. The grid points are
-    aggregate columns rather than joined rows: nothing is multiplied, and every task sends one row per grade.
+    aggregate columns rather than joined rows: nothing is multiplied, and every task sends one row per grade. A
+    pass takes at most 90 points because Spark compiles plans of up to 100 columns.
     """
     rows = df.where(scale.contains(F.col(grade)) & F.col(value).isNotNull()).select(
         F.col(grade).alias("grade"), F.col(value).cast("double").alias("v")
@@ -153,8 +155,8 @@ def gaussian_density(
     )
     joined = rows.join(F.broadcast(bandwidth), F.col("grade") == F.col("_grade"))
     parts = []
-    for start in range(0, len(grid), 40):  # 40 sums at a time stay inside one compiled aggregate
-        points = list(enumerate(grid))[start : start + 40]
+    for start in range(0, len(grid), points_per_pass):
+        points = list(enumerate(grid))[start : start + points_per_pass]
         sums = joined.groupBy("grade", "n", "h").agg(
             *[
                 F.sum(F.exp(F.lit(-0.5) * F.pow((F.lit(x) - F.col("v")) / F.col("h"), F.lit(2)))).alias(f"k{i}")

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wattgrade.operators.shaping import cast_numbers, drop_empty_columns, present
@@ -48,11 +49,12 @@ def distinct_rows(df: DataFrame) -> DataFrame:
 def latest_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """One row per key: the greatest by ``order``, which must list every other column so that ties cannot matter.
 
-    An aggregate rather than a window: each map task keeps a single row per key before the shuffle, so a key with
-    any share of the rows reaches the reducer as at most one row per task.
+    Spark turns the ``= 1`` on the row number into a group limit that also runs before the shuffle, so a key with
+    any share of the rows reaches the reducer as at most one row per map task.
     """
-    winner = F.max(F.struct(*order)).alias("_row")
-    return df.groupBy(key).agg(winner).select(key, "_row.*").select(*df.columns)
+    latest_first = W.partitionBy(key).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    numbered = df.withColumn("_position", F.row_number().over(latest_first))
+    return numbered.where(F.col("_position") == 1).drop("_position")
 
 
 def clean_dataset(df: DataFrame) -> DataFrame:

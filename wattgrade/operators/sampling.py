@@ -19,12 +19,13 @@ def hashed_sample(df: DataFrame, key: str, n: int = 800) -> DataFrame:
     return df.orderBy(F.md5(F.col(key).cast("string")), key, *others).limit(n)
 
 
-def split_bucket(key: str) -> Column:
+def split_bucket(*key: str) -> Column:
     """0..9 from the first four hex digits of the key's hash."""
-    return F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 4), 16, 10).cast("int") % 10
+    text = F.concat_ws("|", *[F.col(k).cast("string") for k in key])
+    return F.conv(F.substring(F.md5(text), 1, 4), 16, 10).cast("int") % 10
 
 
-def hashed_split(df: DataFrame, key: str, tenths: int = 8) -> tuple[DataFrame, DataFrame]:
-    """Train and test by the key's hash; a row without a key goes to the training side."""
-    train = F.coalesce(split_bucket(key) < tenths, F.lit(True))
+def hashed_split(df: DataFrame, *key: str, tenths: int = 8) -> tuple[DataFrame, DataFrame]:
+    """Train and test by the hash of the key columns, the same for a row wherever it is stored."""
+    train = split_bucket(*key) < tenths
     return df.where(train), df.where(~train)

@@ -257,7 +257,7 @@ def stream_silver(spark, sf_dir):
     lines = from_lines(_table_stream(spark, sf_dir, "lineitem"))
     silver = ingest.silver_stream(lines.select(*CLASS_FIELDS), ROLES)
     silver = silver.select("diag_id", "intensity", "surface", "grade_ord", "grade")
-    ingest.run_to_end(ingest.land(silver, path, checkpoint, fmt="parquet", by=["grade"], per_file=0))
+    ingest.run_to_end(ingest.land(silver, path, checkpoint, fmt="parquet", by=["grade"]))
     return readers.read_dataset(spark, path, silver.schema).select(
         "diag_id", "intensity", "surface", "grade", "grade_ord"
     )
@@ -269,5 +269,5 @@ def stream_dedupe(spark, sf_dir):
     path, checkpoint = work_path(spark, "deduped"), work_path(spark, "deduped-checkpoint")
     twice = _table_stream(spark, sf_dir, "events").union(_table_stream(spark, sf_dir, "events"))
     once = ingest.first_seen(twice, ["event_id"], "ts", "60 days").select(*_EVENT_FIELDS)
-    ingest.run_to_end(ingest.land(once, path, checkpoint, fmt="parquet", per_file=0))
+    ingest.run_to_end(ingest.land(once, path, checkpoint, fmt="parquet"))
     return readers.read_dataset(spark, path, once.schema)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattgrade.functions.scalars import pad_code
+from wattgrade.functions.scalars import pad_code, safe_ratio
 from wattgrade.roles import Roles
 
 ROLES = Roles(
@@ -55,8 +55,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def from_lines(lines: DataFrame) -> DataFrame:
     """The diagnostic columns that a line item carries itself; also runs on a stream of line items."""
-    intensity = F.col("l_extendedprice") / F.col("l_quantity") / F.lit(10.0)
-    lines = lines.where(F.col("l_quantity") != 0).withColumn("intensity", intensity)
+    intensity = safe_ratio(F.col("l_extendedprice"), F.col("l_quantity")) / F.lit(10.0)
+    lines = lines.withColumn("intensity", intensity)
     branches = F
     for label, limit in GRADE_LIMITS:
         branches = branches.when(F.col("intensity") < limit, label)

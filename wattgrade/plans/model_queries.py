@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from wattgrade.functions.scalars import half_up
 from wattgrade.operators import models, sampling, scenarios, stats
-from wattgrade.operators.features import COMMUNE_MEAN, indexer, label_index, model_rows
+from wattgrade.operators.features import COMMUNE_MEAN, check_labels, indexer, label_index, model_rows
 from wattgrade.plans.mapping import MODEL, ROLES, STAND_IN, consumption, diagnostics
 from wattgrade.plans.registry import query
 from wattgrade.plans.stats_queries import rounded
@@ -109,6 +109,7 @@ def model_saved(spark, sf_dir):
 def index_labels(spark, sf_dir):
     """Index of every label: by falling frequency, then by name."""
     rows = model_rows(diagnostics(spark, sf_dir), ROLES)
+    check_labels(rows, ROLES.categoricals)
     labels = label_index(indexer(ROLES.categoricals).fit(rows))
     return spark.createDataFrame(labels, "column string, label string, idx int")
 

@@ -39,8 +39,8 @@ def write_extract(df: DataFrame, path: str, order: Sequence[str], n: int = 10) -
     df.orderBy(*order).limit(n).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_json_lines(df: DataFrame, path: str, per_file: int = 1000, by: Sequence[str] = ()) -> None:
-    """Newline-delimited JSON, at most ``per_file`` records per file."""
+def write_json_lines(df: DataFrame, path: str, per_file: int = 0, by: Sequence[str] = ()) -> None:
+    """Newline-delimited JSON; ``per_file`` limits the records per file, 0 leaves file sizes to the partitions."""
     writer = df.write.mode("overwrite").option("maxRecordsPerFile", per_file)
     (writer.partitionBy(*by) if by else writer).json(path)
 

@@ -35,7 +35,7 @@ def land(
     checkpoint: str,
     fmt: str = "json",
     by: Sequence[str] = (),
-    per_file: int = 1000,
+    per_file: int = 0,
 ) -> DataStreamWriter:
     """Append-only landing with the file sink: each record is written once, also after a restart."""
     writer = (
