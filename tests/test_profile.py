@@ -34,6 +34,36 @@ def test_exact_quantiles_match_brute_force_with_a_hot_value(spark, probabilities
         assert [found[c][f"q{i}"] for i in range(len(probabilities))] == pytest.approx(expected, rel=1e-12)
 
 
+@pytest.mark.parametrize("probabilities", [(0.25, 0.5, 0.75), (0.0, 0.37, 0.38, 1.0)])
+def test_brackets_shrink_the_work_but_not_the_result(spark, probabilities):
+    pdf, df = frame(spark, 30000)
+    columns = ["hot", "u", "k"]
+    brackets = ranking.brackets_from_sample(df, columns, probabilities, 2000)
+    counts = ranking.value_counts(df, columns, brackets)
+    assert counts.agg(F.sum("n")).first()[0] == pdf[columns].count().sum()
+    assert counts.count() < ranking.value_counts(df, columns, {}).count() / 2
+    found = {r["column"]: r for r in ranking.exact_quantiles(df, columns, probabilities, sample_rows=2000).collect()}
+    for c in columns:
+        expected = pdf[c].astype(float).quantile(list(probabilities)).tolist()
+        assert [found[c][f"q{i}"] for i in range(len(probabilities))] == pytest.approx(expected, rel=1e-12)
+
+
+def test_a_missed_bracket_is_noticed_and_repaired(spark, monkeypatch):
+    pdf, df = frame(spark, 5000)
+    wrong = {"u": [(990.0, 991.0)]}
+    counts = ranking.value_counts(df, ["u"], wrong)
+    assert ranking.quantiles_of_counts(counts, (0.5,)).first()["missed"]
+    monkeypatch.setattr(ranking, "brackets_from_sample", lambda *_: wrong)
+    found = ranking.exact_quantiles(df, ["u"], (0.5,)).first()
+    assert found["q0"] == pytest.approx(pdf["u"].median(), rel=1e-12)
+
+
+def test_nan_counts_as_missing(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "a double")
+    found = profile.profile(df).first()
+    assert (found["count"], found["mean"], found["p50"], found["max"]) == (2, 2.0, 2.0, 3.0)
+
+
 def test_exact_quantiles_of_small_and_empty_columns(spark):
     df = spark.createDataFrame([(3.0, None), (1.0, None)], "a double, e double")
     found = {r["column"]: r["q0"] for r in ranking.exact_quantiles(df, ["a", "e"], (0.5,)).collect()}

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattgrade.functions.scalars import half_up
-from wattgrade.operators.ranking import approx_quantiles, exact_quantiles
+from wattgrade.operators.ranking import approx_quantiles, exact_quantiles, plain_number
 from wattgrade.roles import GRADES, GradeScale
 
 
@@ -76,11 +76,11 @@ def number_profile(df: DataFrame, columns: Sequence[str], exact: bool = True) ->
     """(column, count, mean, std, min, p25, p50, p75, max) of numeric columns."""
     figures = {
         c: {
-            "count": F.count(_quoted(c)),
-            "mean": F.avg(_quoted(c)),
-            "std": F.stddev_samp(_quoted(c)),
-            "min": F.min(_quoted(c)).cast("double"),
-            "max": F.max(_quoted(c)).cast("double"),
+            "count": F.count(plain_number(c)),
+            "mean": F.avg(plain_number(c)),
+            "std": F.stddev_samp(plain_number(c)),
+            "min": F.min(plain_number(c)),
+            "max": F.max(plain_number(c)),
         }
         for c in columns
     }
@@ -153,23 +153,19 @@ def gaussian_density(
     bandwidth = spread.where((F.col("n") > minimum) & (F.col("s") > 0)).select(
         F.col("grade").alias("_grade"), "n", (F.col("s") * F.pow(F.col("n"), F.lit(-0.2))).alias("h")
     )
-    joined = rows.join(F.broadcast(bandwidth), F.col("grade") == F.col("_grade"))
+    joined = rows.join(F.broadcast(bandwidth), F.col("grade") == F.col("_grade")).select(
+        "grade", "n", "h", (F.col("v") / F.col("h")).alias("z"), (F.lit(1.0) / F.col("h")).alias("step")
+    )
+
+    kernel = "sum(exp(-0.5D * (z - {x:.17g}D * step) * (z - {x:.17g}D * step)))"
     parts = []
     for start in range(0, len(grid), points_per_pass):
         points = list(enumerate(grid))[start : start + points_per_pass]
-        sums = joined.groupBy("grade", "n", "h").agg(
-            *[
-                F.sum(F.exp(F.lit(-0.5) * F.pow((F.lit(x) - F.col("v")) / F.col("h"), F.lit(2)))).alias(f"k{i}")
-                for i, x in points
-            ]
-        )
-        scale_factor = F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi))
-        cells = [
-            F.struct(F.lit(x).alias("x"), half_up(F.col(f"k{i}") / scale_factor, digits).alias("density"))
-            for i, x in points
-        ]
-        parts.append(sums.select("grade", F.inline(F.array(*cells))))
+        sums = joined.groupBy("grade", "n", "h").agg(*[F.expr(kernel.format(x=x)).alias(f"k{i}") for i, x in points])
+        cells = [F.struct(F.lit(x).alias("x"), F.col(f"k{i}").alias("k")) for i, x in points]
+        parts.append(sums.select("grade", "n", "h", F.inline(F.array(*cells))))
     result = parts[0]
     for part in parts[1:]:
         result = result.union(part)
-    return result
+    density = F.col("k") / (F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi)))
+    return result.select("grade", "x", half_up(density, digits).alias("density"))

@@ -2,30 +2,84 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wattgrade.functions.scalars import number
 from wattgrade.session import staged
 
+Bracket = tuple[float, float]
 
-def long_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, value) for every non-null number."""
-    numbers = df.select(*[number(F.col(f"`{c}`")).alias(c) for c in columns])
-    return numbers.unpivot([], [F.col(f"`{c}`") for c in columns], "column", "value").where("value is not null")
 
+def plain_number(name: str) -> Column:
+    """The column as a double, with NaN counted as missing."""
+    value = number(F.col(f"`{name}`"))
+    return F.when(~F.isnan(value), value)
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
-    """(column, q0, q1, …): exact quantiles with linear interpolation, for all columns together.
 
-    Values are counted per (column, value), so repeats collapse in the map tasks, then range-partitioned and
-    written once. Slice totals, one row per slice and column, give each slice its first rank; only slices that
-    hold a wanted rank are ranked row by row, and no slice is larger than one shuffle partition.
+def brackets_from_sample(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], sample_rows: int
+) -> dict[str, list[Bracket]]:
+    """Value ranges that almost surely hold the quantiles, or nothing when sampling would not save work.
+
+    Only a few numbers per column reach the driver. The ranges decide how much work is left, never the result.
+    """
+    counts = df.agg(*[F.count(plain_number(c)) for c in columns]).first()
+    if max(counts) < 10 * sample_rows:
+        return {}
+    fraction = sample_rows / max(counts)
+    margin = 6 * math.sqrt(0.25 / sample_rows)  # six standard errors of a rank in the sample
+    edges = [min(max(q, 0.0), 1.0) for p in probabilities for q in (p - margin, p + margin)]
+    sampled = df.select(*[plain_number(c).alias(c) for c in columns]).sample(fraction, seed=42)
+    found = sampled.agg(*[F.percentile_approx(F.col(f"`{c}`"), edges) for c in columns]).first()
+    result: dict[str, list[Bracket]] = {}
+    for column, values in zip(columns, found):
+        if values is None:
+            continue
+        ranges = []
+        for i, p in enumerate(probabilities):
+            low = values[2 * i] if p - margin > 0 else -math.inf
+            high = values[2 * i + 1] if p + margin < 1 else math.inf
+            ranges.append((low, high))
+        result[column] = ranges
+    return result
+
+
+def value_counts(df: DataFrame, columns: Sequence[str], brackets: Mapping[str, list[Bracket]]) -> DataFrame:
+    """(column, value, top, n): counts per value inside a bracket and per gap between brackets.
+
+    A gap is one row from its smallest to its largest value. Both kinds are counted in the map tasks first, so a
+    value that fills a third of a column is one row per task in the shuffle.
+    """
+    cells = []
+    for name in columns:
+        value = plain_number(name)
+        gap = F.lit(None).cast("int")
+        if name in brackets:
+            inside, passed = F.lit(False), F.lit(0)
+            for low, high in brackets[name]:
+                inside = inside | value.between(low, high)
+                passed = passed + (value > high).cast("int")
+            gap = F.when(~inside, passed)
+        cells.append(F.struct(F.lit(name).alias("column"), value.alias("value"), gap.alias("gap")))
+    long = df.select(F.inline(F.array(*cells))).where("value is not null")
+    kept = F.when(F.col("gap").isNull(), F.col("value"))
+    grouped = long.groupBy("column", "gap", kept.alias("_kept"))
+    counted = grouped.agg(F.min("value").alias("value"), F.max("value").alias("top"), F.count("*").alias("n"))
+    return counted.select("column", "value", "top", "n")
+
+
+def quantiles_of_counts(counts: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+    """(column, q0, …, missed) from a value-count table; ``missed`` when a wanted rank lies in a gap.
+
+    The counts are range-partitioned and written once. Slice totals, one row per slice and column, give each slice
+    its first rank; only slices that hold a wanted rank are ranked row by row, and no slice is larger than one
+    shuffle partition.
     """
-    counts = long_numbers(df, columns).groupBy("column", "value").agg(F.count("*").alias("n"))
     ranged = counts.repartitionByRange("column", "value").withColumn("slice", F.spark_partition_id())
     table = staged(ranged, "value-counts")
 
@@ -39,48 +93,54 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
         F.sum("slice_rows").over(W.partitionBy("column")).alias("total"),
     )
 
-    def position(p: float):
-        return F.lit(float(p)) * (F.col("total") - 1)
-
-    wanted = [r for p in probabilities for r in (F.floor(position(p)), F.ceil(position(p)))]
+    positions = [F.lit(float(p)) * (F.col("total") - 1) for p in probabilities]
+    wanted = [rank for position in positions for rank in (F.floor(position), F.ceil(position))]
     end = F.col("first_rank") + F.col("slice_rows")
-    useful = offsets.where(
-        F.exists(F.array(*wanted), lambda r: (r >= F.col("first_rank")) & (r < end))
-    ).drop("slice_rows")
+    holds_one = F.exists(F.array(*wanted), lambda r: (r >= F.col("first_rank")) & (r < end))
+    useful = offsets.where(holds_one).drop("slice_rows")
 
-    # At most two rows per column and probability, so small whatever the data.
+    # At most two slices per column and probability, so small whatever the data.
     hits = table.join(F.broadcast(useful), ["column", "slice"])
     upto = W.partitionBy("column", "slice").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
     last = F.col("first_rank") + F.sum("n").over(upto) - 1
     ranked = hits.withColumn("last", last).withColumn("first", F.col("last") - F.col("n") + 1)
 
-    def value_at(rank):
-        return F.max(F.when(rank.between(F.col("first"), F.col("last")), F.col("value")))
+    def here(rank: Column) -> Column:
+        return rank.between(F.col("first"), F.col("last"))
 
-    picks = []
-    for i, p in enumerate(probabilities):
-        picks += [value_at(F.floor(position(p))).alias(f"lo{i}"), value_at(F.ceil(position(p))).alias(f"hi{i}")]
-    found = ranked.groupBy("column", "total").agg(*picks)
-    return found.select(
-        "column",
-        *[
-            (
-                F.col(f"lo{i}")
-                + (F.col(f"hi{i}") - F.col(f"lo{i}")) * (position(p) - F.floor(position(p)))
-            ).alias(f"q{i}")
-            for i, p in enumerate(probabilities)
-        ],
-    )
+    picks = [F.max(F.when(here(rank), F.col("value"))).alias(f"v{i}") for i, rank in enumerate(wanted)]
+    in_gap = F.exists(F.array(*[here(rank) for rank in wanted]), lambda hit: hit) & (F.col("value") < F.col("top"))
+    found = ranked.groupBy("column", "total").agg(*picks, F.max(in_gap).alias("missed"))
+
+    def interpolated(i: int) -> Column:
+        low, high = F.col(f"v{2 * i}"), F.col(f"v{2 * i + 1}")
+        return low + (high - low) * (positions[i] - F.floor(positions[i]))
+
+    return found.select("column", *[interpolated(i).alias(f"q{i}") for i in range(len(probabilities))], "missed")
+
+
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], sample_rows: int = 100_000
+) -> DataFrame:
+    """(column, q0, q1, …): exact quantiles with linear interpolation, for all columns together.
+
+    On large data a sample first narrows each quantile down to a bracket of values, and only the few percent of
+    rows inside the brackets are shuffled. Ranks are counted over all rows, so a bracket that missed its quantile
+    shows, and then every value is ranked.
+    """
+    brackets = brackets_from_sample(df, columns, probabilities, sample_rows)
+    found = quantiles_of_counts(value_counts(df, columns, brackets), probabilities)
+    if brackets and found.agg(F.max("missed")).first()[0]:
+        found = quantiles_of_counts(value_counts(df, columns, {}), probabilities)
+    return found.drop("missed")
 
 
 def approx_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int = 10000
 ) -> DataFrame:
     """Same shape from mergeable sketches: one pass, rank error at most 1/accuracy of the rows."""
-    sketches = [
-        F.percentile_approx(number(F.col(f"`{c}`")), [float(p) for p in probabilities], accuracy).alias(f"s{i}")
-        for i, c in enumerate(columns)
-    ]
+    wanted = [float(p) for p in probabilities]
+    sketches = [F.percentile_approx(plain_number(c), wanted, accuracy).alias(f"s{i}") for i, c in enumerate(columns)]
     rows = [
         F.struct(
             F.lit(c).alias("column"),

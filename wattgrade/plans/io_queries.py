@@ -237,6 +237,19 @@ def stream_bronze(spark, sf_dir):
     return readers.read_json_lines(spark, path, events.schema)
 
 
+@query(
+    "stream_encode",
+    """select '{"event_id":' || event_id || ',"user_id":' || user_id || ',"event_type":"' || event_type || '"}' as value
+       from events""",
+)
+def stream_encode(spark, sf_dir):
+    """A feed turned into messages, landed as text instead of a topic."""
+    path, checkpoint = work_path(spark, "messages"), work_path(spark, "messages-checkpoint")
+    events = _table_stream(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    ingest.run_to_end(ingest.land(messages.encode_rows(events), path, checkpoint, fmt="text"))
+    return spark.read.schema("value string").text(path)
+
+
 @query("stream_numbered", _EVENTS_SQL)
 def stream_numbered(spark, sf_dir):
     """Numbered micro-batch directories with at most 1,000 records per file."""

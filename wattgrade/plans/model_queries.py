@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 from wattgrade.functions.scalars import half_up
 from wattgrade.operators import models, sampling, scenarios, stats
 from wattgrade.operators.features import COMMUNE_MEAN, check_labels, indexer, label_index, model_rows
+from wattgrade.operators.quality import drop_incomplete_rows
+from wattgrade.plans.clean_queries import class_rows
 from wattgrade.plans.mapping import MODEL, ROLES, STAND_IN, consumption, diagnostics
 from wattgrade.plans.registry import query
 from wattgrade.plans.stats_queries import rounded
+from wattgrade.roles import GRADES
 from wattgrade.session import staged, work_path
 
 TARGET = ROLES.intensity
@@ -51,6 +54,18 @@ def gbt_predictions(spark, sf_dir):
     return _predictions(spark, sf_dir, models.BOOSTED)
 
 
+@query("class_predictions")
+def class_predictions(spark, sf_dir):
+    """The class-analysis model: a forest on one-hot labels, surface and the grade's ordinal; four columns."""
+    rows = class_rows(spark, sf_dir, "building", "zone", "energy")
+    numerics, labels = (ROLES.surface, ROLES.ordinal), ("building", "zone", "energy")
+    complete = drop_incomplete_rows(rows.select(ROLES.key, *numerics, *labels, TARGET), [*numerics, *labels, TARGET])
+    train, test = sampling.hashed_split(staged(complete, "class-model-rows"), ROLES.key)
+    both = models.train(train, TARGET, labels, numerics, kinds=[models.FOREST], one_hot=True)
+    scored = models.score(both.whole(models.FOREST), test)
+    return models.prediction_table(scored, (ROLES.surface, ROLES.ordinal, TARGET))
+
+
 def scored_by_both(spark, sf_dir):
     both, test = fitted(spark, sf_dir)
     scored = both.preparation.transform(test)
@@ -114,13 +129,14 @@ def index_labels(spark, sf_dir):
     return spark.createDataFrame(labels, "column string, label string, idx int")
 
 
-def stand_in(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stand_in(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     """Test rows with two predictions that SQL can repeat: the train mean of the grade and its published value.
 
     Both tables have one row per label of the scale, so they are safe to broadcast.
     """
-    train, test = sampling.hashed_split(model_rows(diagnostics(spark, sf_dir), ROLES, carry=("commune_name",)), ROLES.key)
-    graded = train.where(scenarios.GRADES.contains(F.col("grade")))
+    rows = model_rows(diagnostics(spark, sf_dir, ROLES.key, ROLES.grade, TARGET, *extra), ROLES, carry=("commune_name",))
+    train, test = sampling.hashed_split(rows, ROLES.key)
+    graded = train.where(GRADES.contains(F.col("grade")))
     means = graded.groupBy("grade").agg(half_up(F.avg(TARGET), 4).alias("prediction"))
     published = scenarios.reference_classes(spark).select("grade", F.col("conso").cast("double").alias("prediction_ref"))
     return test.join(F.broadcast(means), "grade").join(F.broadcast(published), "grade")
@@ -129,7 +145,8 @@ def stand_in(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stand_in_predictions", f"with {STAND_IN} select diag_id, commune, commune_name, grade, building, zone, surface, "
        "intensity, prediction from scored")
 def stand_in_predictions(spark, sf_dir):
-    return stand_in(spark, sf_dir).select(ROLES.key, *TABLE_COLUMNS, "prediction")
+    extra = [c for c in TABLE_COLUMNS if c not in (ROLES.grade, TARGET)]
+    return stand_in(spark, sf_dir, *extra).select(ROLES.key, *TABLE_COLUMNS, "prediction")
 
 
 @query(

@@ -115,6 +115,21 @@ def training_rows(spark, sf_dir):
     return rows.withColumn(COMMUNE_MEAN, half_up(F.col(COMMUNE_MEAN), 4))
 
 
+@query(
+    "missing_indicator",
+    f"""with {DIAG}, {COMMUNES} select diag_id, commune, {rounded('coalesce(mean, 0.0)', 4)} as {COMMUNE_MEAN},
+        cast(case when mean is null then 1 else 0 end as double) as {COMMUNE_MEAN}_is_missing
+        from diag left join communes on commune = code where intensity > 0 and intensity < 2000""",
+)
+def missing_indicator(spark, sf_dir):
+    """The filled commune mean beside a flag that tells a filled zero from a measured one."""
+    means = stats.commune_means(consumption(spark, sf_dir), "code_insee_join", "conso_reelle_mwh", COMMUNE_MEAN)
+    rows = diagnostics(spark, sf_dir, "diag_id", "commune", "intensity")
+    flagged = model_rows(rows, ROLES, means, flag_missing=True)
+    mean = half_up(F.col(COMMUNE_MEAN), 4).alias(COMMUNE_MEAN)
+    return flagged.select("diag_id", "commune", mean, f"{COMMUNE_MEAN}_is_missing")
+
+
 @query(
     "value_counts",
     f"with {DIAG} select building, count(*) as count from diag where building is not null group by building",
