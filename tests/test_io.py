@@ -3,6 +3,8 @@
 import json
 import os
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -112,3 +114,11 @@ def test_file_count_and_extract(spark, out):
     assert sorted(int(r[0]) for r in found.collect()) == list(range(10))
     writers.write_json_lines(df.coalesce(1), f"{out}/json", per_file=100)
     assert readers.list_files(spark, f"{out}/json", "*.json").count() == 10
+
+
+def test_topic_options_need_the_connector_only_when_used(spark, tmp_path):
+    write(tmp_path, "l.json", '{"a": 1, "b": "x"}')
+    feed = spark.readStream.schema(AB).json(str(tmp_path))
+    assert messages.send_stream(feed, "broker:9092", "records", f"{tmp_path}/check")
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        messages.topic_stream(spark, "broker:9092", "records", per_trigger=1000)

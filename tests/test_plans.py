@@ -64,16 +64,32 @@ def test_a_small_summary_is_broadcast_and_a_large_one_is_not(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_a_hot_commune_keeps_every_row_in_the_sort_merge_join(spark):
-    records = spark.range(30000).select(
-        F.col("id"), F.when(F.col("id") % 3 == 0, "1").otherwise((F.col("id") % 500).cast("string")).alias("code")
-    )
-    means = spark.range(400).select(F.col("id").cast("string").alias("c"), F.col("id").cast("double").alias("mean"))
-    padded = stats.commune_means(means, "c", "mean", "mean")
-    expected = attach_commune_mean(records, "code", padded, "c")
-    hinted = attach_commune_mean(records, "code", padded.hint("merge"), "c", stage=False)
-    assert expected.count() == hinted.count() == 30000
-    assert expected.exceptAll(hinted).count() == 0
+def test_a_hot_commune_is_split_and_keeps_every_row(spark):
+    """A third of the records share one commune and the summary is too large to broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64kb",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128kb",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    code = F.when(F.col("id") % 3 == 0, "1").otherwise((F.col("id") % 5000).cast("string"))
+    records = spark.range(0, 400_000, 1, 8).select("id", code.alias("code"), F.sha1(F.col("id").cast("string")).alias("pad"))
+    use = spark.range(4000).select(F.col("id").cast("string").alias("c"), F.col("id").cast("double").alias("mean"))
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        joined = attach_commune_mean(records, "code", stats.commune_means(use, "c", "mean", "mean"), "c")
+        found = joined.collect()
+        assert "isSkew=true" in plan(joined) or "skewed=true" in plan(joined) or "SortMergeJoin(skew=true)" in plan(joined)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(found) == 400_000 and len({r["id"] for r in found}) == 400_000
+    for r in found:
+        number = int(r["code"])
+        assert r["mean"] == (float(number) if number < 4000 else None)
 
 
 def test_scenarios_and_densities_broadcast_only_class_tables(spark):

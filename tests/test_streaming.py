@@ -1,5 +1,6 @@
 """Streams give what the batch gives, and restarts add nothing twice."""
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,7 +76,8 @@ def test_last_partial_batch_and_bad_messages_are_kept(spark, out):
     assert [r[readers.CORRUPT] for r in found.where("id is null").collect()] == ["{oops"]
 
 
-def test_redelivered_records_come_out_once(spark, out):
+@pytest.mark.parametrize("salts", [1, 4])
+def test_redelivered_records_come_out_once(spark, out, salts):
     schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("ts", T.TimestampNTZType())])
     start = F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00"))
     events = spark.range(400).select(
@@ -84,6 +86,6 @@ def test_redelivered_records_come_out_once(spark, out):
     for part in range(2):
         events.coalesce(1).write.mode("append").parquet(f"{out}/in")
     feed = ingest.file_feed(spark, f"{out}/in", schema, files_per_trigger=1)
-    once = ingest.first_seen(feed, ["k"], "ts", "1 hour")
+    once = ingest.first_seen(feed, ["k"], "ts", "1 hour", salts)
     ingest.run_to_end(ingest.land(once, f"{out}/out", f"{out}/check", fmt="parquet"))
     assert sorted(r["k"] for r in spark.read.parquet(f"{out}/out").collect()) == list(range(400))

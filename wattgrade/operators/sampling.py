@@ -25,7 +25,12 @@ def split_bucket(*key: str) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 4), 16, 10).cast("int") % 10
 
 
+def in_training(*key: str, tenths: int = 8) -> Column:
+    """Whether the hash of the key columns puts a row on the training side, wherever the row is stored."""
+    return split_bucket(*key) < tenths
+
+
 def hashed_split(df: DataFrame, *key: str, tenths: int = 8) -> tuple[DataFrame, DataFrame]:
-    """Train and test by the hash of the key columns, the same for a row wherever it is stored."""
-    train = split_bucket(*key) < tenths
+    """Train and test rows."""
+    train = in_training(*key, tenths=tenths)
     return df.where(train), df.where(~train)

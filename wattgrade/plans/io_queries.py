@@ -63,7 +63,7 @@ def dated_ndjson(spark, sf_dir):
     """Events in one directory per day; reading one day opens only its directory."""
     events = table(spark, sf_dir, "events")
     dated = events.select(
-        "event_id", "user_id", "event_type", "value", F.date_format("ts", "yyyy-MM-dd").alias("date")
+        "event_id", "user_id", "event_type", "value", F.col("ts").cast("date").cast("string").alias("date")
     )
     path = work_path(spark, "dated-lines")
     writers.write_json_lines(dated.hint("rebalance", "date"), path, by=["date"])
@@ -281,6 +281,6 @@ def stream_dedupe(spark, sf_dir):
     """Every event delivered twice; each key comes out once."""
     path, checkpoint = work_path(spark, "deduped"), work_path(spark, "deduped-checkpoint")
     twice = _table_stream(spark, sf_dir, "events").union(_table_stream(spark, sf_dir, "events"))
-    once = ingest.first_seen(twice, ["event_id"], "ts", "60 days").select(*_EVENT_FIELDS)
+    once = ingest.first_seen(twice, ["event_id"], "ts", "60 days", salts=8).select(*_EVENT_FIELDS)
     ingest.run_to_end(ingest.land(once, path, checkpoint, fmt="parquet"))
     return readers.read_dataset(spark, path, once.schema)

@@ -66,7 +66,7 @@ def from_lines(lines: DataFrame) -> DataFrame:
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias(
             "diag_id"
         ),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("received_at"),
+        F.col("l_shipdate").cast("date").cast("string").alias("received_at"),
         "intensity",
         (F.col("l_extendedprice") / F.lit(10.0)).alias("total"),
         F.col("l_quantity").alias("surface"),

@@ -253,10 +253,9 @@ def sample_800(spark, sf_dir):
 )
 def hash_split(spark, sf_dir):
     rows = diagnostics(spark, sf_dir, "diag_id", "grade")
-    train, test = sampling.hashed_split(rows, "diag_id")
-    sides = train.withColumn("is_train", F.lit(True)).union(test.withColumn("is_train", F.lit(False)))
-    per_key = sides.groupBy("is_train", "grade", "diag_id").agg(F.count("*").alias("copies"))
-    return per_key.groupBy("is_train", "grade").agg(F.sum("copies").alias("nb"), F.count("*").alias("keys"))
+    per_key = rows.groupBy("grade", "diag_id").agg(F.count("*").alias("copies"))
+    sides = per_key.withColumn("is_train", sampling.in_training("diag_id"))
+    return sides.groupBy("is_train", "grade").agg(F.sum("copies").alias("nb"), F.count("*").alias("keys"))
 
 
 @query("source_cap", "select * from customer order by c_custkey limit 1000")

@@ -7,16 +7,20 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Keeps streaming state on disk with a memory cache, so it may outgrow the executor's memory.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 _local_roots: dict[str, str] = {}
 
 
 def build_session(app_name: str = "wattgrade", **settings: str) -> SparkSession:
-    """A session with adaptive execution on; every other setting comes from the cluster or the caller."""
+    """A session with adaptive execution and disk-backed streaming state; the rest comes from the cluster or caller."""
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     )
     for name, value in settings.items():
         builder = builder.config(name, value)

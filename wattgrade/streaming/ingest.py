@@ -65,10 +65,15 @@ def silver_stream(records: DataFrame, roles: Roles, scale: GradeScale = GRADES)
     return row_rules(records, roles, scale)
 
 
-def first_seen(records: DataFrame, key: Sequence[str], time: str, delay: str) -> DataFrame:
+def first_seen(records: DataFrame, key: Sequence[str], time: str, delay: str, salts: int = 1) -> DataFrame:
     """First record per key; state is dropped once the watermark has passed a key's time by ``delay``.
 
-    Times without a zone are read as session time, because the watermark needs a zoned timestamp.
+    With ``salts``, copies of a key are first reduced within that many groups of input partitions, so a key that
+    makes up a large share of the feed does not meet in one task. Times without a zone are read as session time,
+    because the watermark needs a zoned timestamp.
     """
-    timed = records.withColumn(time, F.col(time).cast("timestamp"))
-    return timed.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(key))
+    timed = records.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
+    if salts > 1:
+        salted = timed.withColumn("_salt", F.spark_partition_id() % salts)
+        timed = salted.dropDuplicatesWithinWatermark([*key, "_salt"]).drop("_salt")
+    return timed.dropDuplicatesWithinWatermark(list(key))
