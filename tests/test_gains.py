@@ -51,7 +51,8 @@ def test_lookup_step_rejects_equal_and_worse(spark):
 
 
 def dwellings(spark):
-    return spark.createDataFrame([("d1", "E", 80.0), ("d2", "A", 50.0), ("d3", None, 50.0)], "id string, grade string, s double")
+    cells = [("d1", "E", 80.0), ("d2", "A", 50.0), ("d3", None, 50.0)]
+    return spark.createDataFrame(cells, "id string, grade string, s double")
 
 
 def test_reference_scenario(spark):

@@ -32,9 +32,12 @@ def test_class_analysis(spark, tmp_path):
     names = list(ACCENTED_NAMES)
     records = []
     for i, grade, x, s in raw_records():
-        values = [f"N{i}", "2024-01-01", grade, grade, x * s, x, s, ["maison", "immeuble"][i % 2], "1975", "gaz", "75001", 5]
+        kind = ["maison", "immeuble"][i % 2]
+        values = [f"N{i}", "2024-01-01", grade, grade, x * s, x, s, kind, "1975", "gaz", "75001", 5]
         records.append(dict(zip(names, values)) | {"other": 1})
-    records += [records[0] | {"Date_réception_DPE": "2023-01-01", "Etiquette_DPE": "A"}, records[1] | {"N°DPE": "bad", "Etiquette_DPE": "Z"}]
+    older = records[0] | {"Date_réception_DPE": "2023-01-01", "Etiquette_DPE": "A"}
+    off_scale = records[1] | {"N°DPE": "bad", "Etiquette_DPE": "Z"}
+    records += [older, off_scale]
     write_lines(tmp_path / "bronze" / "date=2024-01-01" / "part" / "a.json", records)
     silver, gold = f"{tmp_path}/silver", f"{tmp_path}/gold"
     medallion.write_class_silver(spark, f"{tmp_path}/bronze", silver)

@@ -50,7 +50,8 @@ def fitted(data):
 
 
 def test_model_rows_fill_and_flag(spark, data):
-    means = spark.createDataFrame([("00001", 0.0), ("00002", 5.0)], "code_insee_join string, conso_moyenne_commune_mwh double")
+    schema = "code_insee_join string, conso_moyenne_commune_mwh double"
+    means = spark.createDataFrame([("00001", 0.0), ("00002", 5.0)], schema)
     ready = features.model_rows(data, ROLES, means, flag_missing=True)
     assert ready.count() == data.where("x > 0 and x < 2000").count()
     codes = {r[0]: (r[1], r[2]) for r in ready.select(

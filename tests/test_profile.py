@@ -21,7 +21,8 @@ def frame(spark, n=4000, seed=1):
         }
     )
     pdf.loc[::7, "u"] = np.nan
-    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), "grade string, hot double, u double, k bigint")
+    cells = pdf.astype(object).where(pdf.notna(), None)
+    df = spark.createDataFrame(cells, "grade string, hot double, u double, k bigint")
     return pdf, df.repartition(5)
 
 

@@ -35,7 +35,7 @@ def test_ordinal_is_int_and_null_off_the_scale(spark):
 
 
 def test_closed_and_open_ranges(spark):
-    cells = [(-1.0, 50.0), (0.0, 50.0), (2000.0, 50.0), (2000.1, 50.0), (5.0, 8.9), (5.0, 9.0), (5.0, 1000.0), (5.0, 1001.0)]
+    cells = [(x, 50.0) for x in (-1.0, 0.0, 2000.0, 2000.1)] + [(5.0, s) for s in (8.9, 9.0, 1000.0, 1001.0)]
     df = spark.createDataFrame(cells, "x double, s double")
     assert rows(df.where(quality.in_ranges(ROLES))) == sorted(
         [(0.0, 50.0), (2000.0, 50.0), (5.0, 9.0), (5.0, 1000.0)], key=repr
@@ -152,7 +152,8 @@ def test_tolerant_projection_and_names_with_dots_and_spaces(spark):
 
 
 def test_left_join_keeps_every_record_and_pads_both_sides(spark):
-    records = spark.createDataFrame([("r1", "1001"), ("r2", "2A004"), ("r3", None), ("r4", "1001")], "r string, code string")
+    cells = [("r1", "1001"), ("r2", "2A004"), ("r3", None), ("r4", "1001")]
+    records = spark.createDataFrame(cells, "r string, code string")
     use = spark.createDataFrame([(1001, "2.0"), (1001, "4.0"), (1001, "bad"), (9, "1.0")], "c bigint, v string")
     means = stats.commune_means(use, "c", "v", "mean")
     for stage in (True, False):
@@ -169,7 +170,8 @@ def test_group_total_counts_the_null_group_both_ways(spark):
 
 
 def test_axis_bound_minimum_group_and_top(spark):
-    df = spark.createDataFrame([("a", 1.0, 5.0), ("a", 2.0, 1.0), ("b", 9.0, None), (None, 99.0, 1.0)], "g string, x double, y double")
+    cells = [("a", 1.0, 5.0), ("a", 2.0, 1.0), ("b", 9.0, None), (None, 99.0, 1.0)]
+    df = spark.createDataFrame(cells, "g string, x double, y double")
     assert stats.axis_bound(df, ["x", "y"]).first()[0] == 99.0
     assert rows(stats.groups_larger_than(df, "g", 1)) == [("a", 2)]
     assert rows(stats.top_groups(df, "g", "x", "m", n=1)) == [("b", 9.0)]

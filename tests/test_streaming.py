@@ -64,9 +64,8 @@ def test_numbered_batches_continue_after_a_restart(spark, out):
 
 
 def test_last_partial_batch_and_bad_messages_are_kept(spark, out):
-    bodies = spark.range(1003).select(
-        F.when(F.col("id") == 7, "{oops").otherwise(F.to_json(F.struct(F.col("id").cast("string").alias("id")))).alias("value")
-    )
+    body = F.to_json(F.struct(F.col("id").cast("string").alias("id")))
+    bodies = spark.range(1003).select(F.when(F.col("id") == 7, "{oops").otherwise(body).alias("value"))
     bodies.write.text(f"{out}/in")
     feed = ingest.file_feed(spark, f"{out}/in", T.StructType([T.StructField("value", T.StringType())]), fmt="text")
     decoded = messages.decode_rows(feed, T.StructType([T.StructField("id", T.StringType())]), readers.CORRUPT)

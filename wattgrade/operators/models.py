@@ -38,6 +38,12 @@ class FittedModels:
         return PipelineModel(stages=[*self.preparation.stages, self.models[name]])
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition per core, for data that are read many times; already finer data stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < 2 * cores else df
+
+
 def train(
     rows: DataFrame,
     target: str,
@@ -54,9 +60,14 @@ def train(
     shared_root(rows.sparkSession)
     preparation = fit_preparation(rows, categoricals, numerics, one_hot)
     bins = bins_needed(preparation, one_hot)
-    prepared = preparation.transform(rows).select(target, "features").persist(StorageLevel.MEMORY_AND_DISK)
+    prepared = spread(preparation.transform(rows).select(target, "features")).persist(StorageLevel.MEMORY_AND_DISK)
     common = dict(
-        featuresCol="features", labelCol=target, maxDepth=size.depth, maxBins=bins, seed=size.seed, checkpointInterval=10
+        featuresCol="features",
+        labelCol=target,
+        maxDepth=size.depth,
+        maxBins=bins,
+        seed=size.seed,
+        checkpointInterval=10,
     )
     makers = {
         FOREST: lambda: RandomForestRegressor(numTrees=size.trees, **common),

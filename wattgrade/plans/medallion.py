@@ -62,7 +62,11 @@ def class_training_rows(silver: DataFrame) -> DataFrame:
 
 
 def write_class_gold(
-    spark: SparkSession, silver: str, gold: str, size: models.TreeSize = models.TreeSize(), schema: T.StructType | None = None
+    spark: SparkSession,
+    silver: str,
+    gold: str,
+    size: models.TreeSize = models.TreeSize(),
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """Statistics, gain matrix, ladder, forest and its predictions; returns the metrics."""
     rows = readers.read_dataset(spark, silver, schema)
@@ -131,7 +135,7 @@ def write_model_gold(
     numerics = shaping.present(rows, [*MODEL_ROLES.numerics, COMMUNE_MEAN, f"{COMMUNE_MEAN}_is_missing"])
     fitted = models.train(train, target, shaping.present(rows, MODEL_ROLES.categoricals), numerics, size=size)
 
-    scored = fitted.preparation.transform(test)
+    scored = fitted.preparation.transform(models.spread(test))
     names = {models.FOREST: "_forest", models.BOOSTED: "_boosted"}
     for name, column in names.items():
         scored = fitted.models[name].copy({fitted.models[name].predictionCol: column}).transform(scored)

@@ -35,7 +35,7 @@ def fitted(spark: SparkSession, sf_dir: str) -> tuple[models.FittedModels, DataF
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _fitted:
         train, test = sampling.hashed_split(staged(prepared_rows(spark, sf_dir), "model-rows"), ROLES.key)
-        _fitted[key] = (models.train(train, TARGET, ROLES.categoricals, NUMERICS), test)
+        _fitted[key] = (models.train(train, TARGET, ROLES.categoricals, NUMERICS), models.spread(test))
     return _fitted[key]
 
 
@@ -62,7 +62,7 @@ def class_predictions(spark, sf_dir):
     complete = drop_incomplete_rows(rows.select(ROLES.key, *numerics, *labels, TARGET), [*numerics, *labels, TARGET])
     train, test = sampling.hashed_split(staged(complete, "class-model-rows"), ROLES.key)
     both = models.train(train, TARGET, labels, numerics, kinds=[models.FOREST], one_hot=True)
-    scored = models.score(both.whole(models.FOREST), test)
+    scored = models.score(both.whole(models.FOREST), models.spread(test))
     return models.prediction_table(scored, (ROLES.surface, ROLES.ordinal, TARGET))
 
 
@@ -134,16 +134,21 @@ def stand_in(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
 
     Both tables have one row per label of the scale, so they are safe to broadcast.
     """
-    rows = model_rows(diagnostics(spark, sf_dir, ROLES.key, ROLES.grade, TARGET, *extra), ROLES, carry=("commune_name",))
+    records = diagnostics(spark, sf_dir, ROLES.key, ROLES.grade, TARGET, *extra)
+    rows = model_rows(records, ROLES, carry=("commune_name",))
     train, test = sampling.hashed_split(rows, ROLES.key)
     graded = train.where(GRADES.contains(F.col("grade")))
     means = graded.groupBy("grade").agg(half_up(F.avg(TARGET), 4).alias("prediction"))
-    published = scenarios.reference_classes(spark).select("grade", F.col("conso").cast("double").alias("prediction_ref"))
+    constant = F.col("conso").cast("double").alias("prediction_ref")
+    published = scenarios.reference_classes(spark).select("grade", constant)
     return test.join(F.broadcast(means), "grade").join(F.broadcast(published), "grade")
 
 
-@query("stand_in_predictions", f"with {STAND_IN} select diag_id, commune, commune_name, grade, building, zone, surface, "
-       "intensity, prediction from scored")
+@query(
+    "stand_in_predictions",
+    f"with {STAND_IN} select diag_id, commune, commune_name, grade, building, zone, surface, intensity, prediction "
+    "from scored",
+)
 def stand_in_predictions(spark, sf_dir):
     extra = [c for c in TABLE_COLUMNS if c not in (ROLES.grade, TARGET)]
     return stand_in(spark, sf_dir, *extra).select(ROLES.key, *TABLE_COLUMNS, "prediction")

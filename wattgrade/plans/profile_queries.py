@@ -113,7 +113,8 @@ def kde_by_grade(spark, sf_dir):
 
 
 _MEASURED_SQL = f"""{MEANS}, targets as (
-  select s.grade as source, t.grade as classe_cible, cast(s.conso as double) as c_avant, cast(t.conso as double) as c_apres
+  select s.grade as source, t.grade as classe_cible, cast(s.conso as double) as c_avant,
+         cast(t.conso as double) as c_apres
   from means s join means t on s.grade_ord > t.grade_ord)"""
 _REFERENCE_SQL = f"""{CLASSED}, {REFERENCE}, targets as (
   select s.ref_grade as source, t.ref_grade as classe_cible, cast(s.ref_conso as double) as c_avant,
