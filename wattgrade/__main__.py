@@ -1,4 +1,4 @@
-"""Batch jobs for spark-submit: python -m wattgrade JOB --option value …"""
+"""Batch jobs: python -m wattgrade JOB --option value …, or through spark-submit with the package as --py-files."""
 
 from __future__ import annotations
 

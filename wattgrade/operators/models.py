@@ -55,7 +55,8 @@ def train(
 ) -> FittedModels:
     """Fit the preparation once, keep its output, and fit every requested model on it.
 
-    Boosting cuts its lineage in the checkpoint folder every ten trees.
+    ``rows`` should come from a stored table (``session.staged``): fitting reads them several times. Boosting cuts
+    its lineage in the checkpoint folder every ten trees.
     """
     shared_root(rows.sparkSession)
     preparation = fit_preparation(rows, categoricals, numerics, one_hot)

@@ -98,11 +98,15 @@ def write_class_gold(
 def write_dataset_silver(
     spark: SparkSession, bronze: str, silver: str, schema: T.StructType = SNAKE_RECORD, enveloped: bool = False
 ) -> None:
-    """Line records, unwrapped when enveloped, without blank rows, empty columns and repeated rows."""
+    """Line records, unwrapped when enveloped, without blank rows, empty columns and repeated rows.
+
+    Distinct rows are staged as columns first, so the text is parsed once and the search for empty columns is cheap.
+    """
     raw = readers.read_json_lines(spark, bronze, schema)
     if enveloped:
         raw = shaping.unwrap_if_enveloped(raw, max_outer=3)
-    writers.overwrite_balanced(quality.clean_dataset(raw), silver)
+    records = staged(quality.distinct_rows(quality.drop_blank_rows(raw)), "records")
+    writers.overwrite_balanced(shaping.drop_empty_columns(records), silver)
 
 
 def write_consumption_silver(
