@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tests.helpers import rows
 from wattgrade.operators import shaping
 from wattgrade.sources import messages, readers, writers
-from wattgrade.sources.schemas import enveloped, text_schema
+from wattgrade.sources.schemas import envelope_schema, text_schema
 
 AB = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
 
@@ -60,7 +60,7 @@ def test_delimited_is_all_text_and_wraps_with_its_file_name(spark, tmp_path):
     assert {r["source_file"] for r in wrapped.collect()} == {"adresses.csv"}
     body = json.loads(messages.encode_rows(wrapped).first()["value"])
     assert set(body) == {"source_file", "data"}
-    back = messages.decode_rows(messages.encode_rows(wrapped), enveloped(df.schema))
+    back = messages.decode_rows(messages.encode_rows(wrapped), envelope_schema(df.schema))
     assert rows(shaping.unwrap(back)) == rows(df)
 
 

@@ -110,6 +110,17 @@ def test_consumption_model(spark, tmp_path):
     assert readers.read_delimited(spark, f"{tmp_path}/sample", SNAKE_RECORD.names, sep=",").count() == 10
 
 
+def test_enveloped_records_give_the_same_silver(spark, tmp_path):
+    records = [{"numero_dpe": f"N{i}", "etiquette_dpe": "A", "code_insee_ban": str(i)} for i in range(20)]
+    write_lines(tmp_path / "flat" / "a.json", records)
+    write_lines(tmp_path / "wrapped" / "a.json", [{"source_file": "a.csv", "data": r} for r in records + records[:3]])
+    medallion.write_dataset_silver(spark, f"{tmp_path}/flat", f"{tmp_path}/out1")
+    medallion.write_dataset_silver(spark, f"{tmp_path}/wrapped", f"{tmp_path}/out2", enveloped=True)
+    first, second = readers.read_dataset(spark, f"{tmp_path}/out1"), readers.read_dataset(spark, f"{tmp_path}/out2")
+    assert first.count() == 20 and sorted(first.columns) == ["code_insee_ban", "etiquette_dpe", "numero_dpe"]
+    assert rows(first) == rows(second.select(*first.columns))
+
+
 def test_job_options():
     args = parser().parse_args(["class-silver", "--bronze", "b", "--silver", "s", "--layout", "snake"])
     assert (args.job, args.bronze, args.layout) == ("class-silver", "b", "snake")

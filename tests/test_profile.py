@@ -97,6 +97,7 @@ def test_null_and_schema_reports(spark):
     assert rows(profile.null_profile(df), "kept") == [("b", 2), ("a", 1)]
     assert rows(profile.non_null_counts(df)) == [("a", 1), ("b", 0)]
     assert rows(profile.schema_report(df)) == [("a", 0, "int", 1, 2), ("b", 1, "string", 0, 2)]
+    assert rows(profile.schema_report(df.limit(0))) == [("a", 0, "int", 0, 0), ("b", 1, "string", 0, 0)]
 
 
 def test_correlation_is_pairwise_complete(spark):

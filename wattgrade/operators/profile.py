@@ -23,11 +23,14 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def _one_row_per_column(df: DataFrame, figures: dict[str, dict[str, Column]]) -> DataFrame:
+def _one_row_per_column(
+    df: DataFrame, figures: dict[str, dict[str, Column]], constants: dict[str, dict[str, Column]] | None = None
+) -> DataFrame:
     """Aggregate all figures in one pass and turn the single row into one row per column."""
     aggregates, rows = [], []
     for i, (name, columns) in enumerate(figures.items()):
         cells = [F.lit(name).alias("column")]
+        cells += [value.alias(label) for label, value in (constants or {}).get(name, {}).items()]
         for figure, expression in columns.items():
             aggregates.append(expression.alias(f"{figure}_{i}"))
             cells.append(F.col(f"{figure}_{i}").alias(figure))
@@ -46,16 +49,9 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 def schema_report(df: DataFrame) -> DataFrame:
     """Name, position, type, non-null count and row count of every column."""
-    figures = {
-        name: {
-            "position": F.max(F.lit(i)),
-            "dtype": F.max(F.lit(dtype)),
-            "non_null": F.count(_quoted(name)),
-            "n_rows": F.count("*"),
-        }
-        for i, (name, dtype) in enumerate(df.dtypes)
-    }
-    return _one_row_per_column(df, figures)
+    figures = {c: {"non_null": F.count(_quoted(c)), "n_rows": F.count("*")} for c in df.columns}
+    constants = {c: {"position": F.lit(i), "dtype": F.lit(t)} for i, (c, t) in enumerate(df.dtypes)}
+    return _one_row_per_column(df, figures, constants)
 
 
 def label_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:

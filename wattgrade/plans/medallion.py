@@ -19,7 +19,7 @@ from wattgrade.roles import (
 )
 from wattgrade.session import staged
 from wattgrade.sources import messages, readers, writers
-from wattgrade.sources.schemas import ACCENTED_RECORD, CONSUMPTION_DOCUMENT, SNAKE_RECORD
+from wattgrade.sources.schemas import ACCENTED_RECORD, CONSUMPTION_DOCUMENT, SNAKE_RECORD, envelope_schema
 from wattgrade.streaming import ingest
 
 
@@ -102,9 +102,8 @@ def write_dataset_silver(
 
     Distinct rows are staged as columns first, so the text is parsed once and the search for empty columns is cheap.
     """
-    raw = readers.read_json_lines(spark, bronze, schema)
-    if enveloped:
-        raw = shaping.unwrap_if_enveloped(raw, max_outer=3)
+    raw = readers.read_json_lines(spark, bronze, envelope_schema(schema) if enveloped else schema)
+    raw = shaping.unwrap_if_enveloped(raw, max_outer=3)
     records = staged(quality.distinct_rows(quality.drop_blank_rows(raw)), "records")
     writers.overwrite_balanced(shaping.drop_empty_columns(records), silver)
 

@@ -81,6 +81,41 @@ def fitted_metrics(spark, sf_dir):
     return models.metrics_by_model(scored_by_both(spark, sf_dir), TARGET, names)
 
 
+@query(
+    "fitted_checks",
+    f"""with {STAND_IN}, sizes as (select count(*) as nb from scored)
+    select 'RandomForest' as model, nb, true as beats_mean, cast(0 as bigint) as outside_range from sizes
+    union all select 'GBT', nb, true, cast(null as bigint) from sizes""",
+)
+def fitted_checks(spark, sf_dir):
+    """Every test row is scored, both models beat the mean, and no forest score leaves the range of the targets."""
+    both = scored_by_both(spark, sf_dir)
+    low, high = prepared_rows(spark, sf_dir).agg(F.min(TARGET), F.max(TARGET)).first()
+    outside = F.count_if(~F.col("p_forest").between(low - 1e-6, high + 1e-6))
+
+    def better(column):
+        return stats.rmse(F.col(TARGET), F.col(column)) < F.stddev_pop(TARGET)
+
+    wide = both.agg(
+        F.count("*").alias("nb"),
+        better("p_forest").alias("forest"),
+        better("p_boosted").alias("boosted"),
+        outside.alias("outside"),
+    )
+
+    def row(model, beats, out_of_range):
+        return F.struct(
+            F.lit(model).alias("model"),
+            "nb",
+            beats.alias("beats_mean"),
+            out_of_range.cast("bigint").alias("outside_range"),
+        )
+
+    forest = row(models.FOREST, F.col("forest"), F.col("outside"))
+    boosted = row(models.BOOSTED, F.col("boosted"), F.lit(None))
+    return wide.select(F.inline(F.array(forest, boosted)))
+
+
 @query("chosen_model")
 def chosen_model(spark, sf_dir):
     return models.best_model(fitted_metrics(spark, sf_dir))

@@ -17,7 +17,7 @@ def text_schema(names: Iterable[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def enveloped(schema: T.StructType, column: str = "data") -> T.StructType:
+def envelope_schema(schema: T.StructType, column: str = "data") -> T.StructType:
     return T.StructType([T.StructField("source_file", T.StringType()), T.StructField(column, schema)])
 
 
