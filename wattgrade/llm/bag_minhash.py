@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattgrade.llm.common import components
@@ -102,16 +102,6 @@ def band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def weighted_jaccard(left: bytes, right: bytes, words: int) -> float:
-    """Similarity of the multisets of shingles: the sum of smaller counts over the sum of larger ones."""
-    owner, shingle, weight = bags([left, right], words)
-    a, b = owner == 0, owner == 1
-    _, i, j = np.intersect1d(shingle[a], shingle[b], assume_unique=True, return_indices=True)
-    common = int(np.minimum(weight[a][i], weight[b][j]).sum())
-    union = int(weight.sum()) - common
-    return common / union if union else 0.0
-
-
 def batches_of(texts: list[bytes], limit: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
     """Neighbouring texts of about ``limit`` bytes together; a longer text stands alone."""
     start = size = 0
@@ -150,20 +140,27 @@ def signed(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
     return docs.select("id", "key", "text").mapInArrow(run, "id long, key string, n long, bands array<long>")
 
 
-def similar(pairs: DataFrame, texts: DataFrame, threshold: float, words: int) -> DataFrame:
-    """The pairs (a, b) whose texts reach the threshold. ``texts`` (id, text) holds the candidates only."""
-    joined = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("_a")), "a")
-    joined = joined.join(texts.select(F.col("id").alias("b"), F.col("text").alias("_b")), "b")
+def multisets(texts: DataFrame, words: int) -> DataFrame:
+    """(id, grams): the multiset of a text's shingles as a set of hashes of a shingle and the how-manieth it is."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [
-                weighted_jaccard(x.as_py().encode(), y.as_py().encode(), words) >= threshold
-                for x, y in zip(batch.column(2), batch.column(3), strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], ["a", "b"])
+            bodies = [t.encode() for t in batch.column(1).to_pylist()]
+            for low, high in batches_of(bodies):
+                owner, shingle, weight = bags(bodies[low:high], words)
+                which = np.arange(weight.sum()) - np.repeat(np.cumsum(weight) - weight, weight)
+                grams = mixed(np.repeat(shingle, weight) * BASE + which.astype(np.uint64)).view(np.int64)
+                ends = np.cumsum(np.bincount(owner, weights=weight, minlength=high - low).astype(np.int64))
+                lists = pa.LargeListArray.from_arrays(np.concatenate([[0], ends]), grams).cast(pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), lists], ["id", "grams"])
+
+    return texts.select("id", "text").mapInArrow(run, "id long, grams array<long>")
+
 
-    return joined.select("a", "b", "_a", "_b").mapInArrow(run, "a long, b long")
+def overlap(a: Column, b: Column) -> Column:
+    """Weighted Jaccard similarity of two multisets: their common part by the whole of both."""
+    common = F.size(F.array_intersect(a, b))
+    return common / (F.size(a) + F.size(b) - common)
 
 
 def classes(
@@ -182,9 +179,10 @@ def classes(
     pair at 0.8 with a chance of 3 in a million.
 
     Texts sharing a band are first compared with the smallest id of the band, so a large group costs one pair per
-    member. Then, of members that are still in different classes, those that share a band with another smallest id are
-    compared with it, and at last any two that share a band. Pairs that could not reach the threshold by their numbers
-    of shingles are left out.
+    member and band. Then any two that share a band, are still in different classes and may reach the threshold are
+    compared. The rest cannot reach it, by their numbers of shingles or by the triangle inequality: one minus the
+    similarity is a distance, so two texts differ by at least as much as their distances to the smallest id differ.
+    Only pairs that do reach it leave the join.
 
     Null and empty texts and texts without words have no shingles: they are linked with equal texts only. A null id
     counts as the largest. Rows that share an id belong to one class. An empty table gives an empty table.
@@ -203,40 +201,39 @@ def classes(
     shared = listed.groupBy("band").agg(F.min("id").alias("center"), F.count("*").alias("size")).where("size > 1")
     members = staged(listed.join(shared.drop("size"), "band"), "bag-bands")
     wanted = members.select("id").distinct()
-    bodies = staged(plain.join(texts.select("key", "id"), ["key", "id"]).join(wanted, "id", "left_semi").select("id", "text").distinct(), "bag-bodies")
-    centers = members.join(texts.select(F.col("id").alias("center"), F.col("n").alias("center_n")), "center")
-    near_size = lambda a, b: F.least(a, b) >= F.greatest(a, b) * threshold
-    stars = centers.where((F.col("id") != F.col("center")) & near_size("n", "center_n"))
-    stars = staged(stars.select(F.col("center").alias("a"), F.col("id").alias("b")).distinct(), "bag-stars")
-
-    first = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = staged(similar(first, bodies, threshold, words), "bag-links")
-    joined = components(links, "a", "b")
-
-    def apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
-        for side in ("a", "b"):
-            named = known.select(F.col("node").alias(side), F.col("component").alias(f"_{side}"))
-            pairs = pairs.join(named, side, "left").withColumn(f"_{side}", F.coalesce(f"_{side}", side))
-        return pairs.where("_a != _b").select("a", "b")
-
-    second = apart(stars.join(first, ["a", "b"], "left_anti"), joined)
-    more = staged(similar(second, bodies, threshold, words), "bag-links")
-    links = staged(links.unionByName(more), "bag-links")
+    bodies = plain.join(texts.select("key", "id"), ["key", "id"]).join(wanted, "id", "left_semi").select("id", "text")
+    bodies = staged(multisets(bodies.distinct(), words), "bag-multisets")
+    # Bands of the smallest id with each other member, compared once a pair.
+    stars = members.where("id != center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
+    sides = [bodies.select(F.col("id").alias(side), F.col("grams").alias(f"_{side}")) for side in ("a", "b")]
+    stars = stars.join(sides[0], "a").join(sides[1], "b").select("a", "b", overlap(F.col("_a"), F.col("_b")).alias("similarity"))
+    stars = staged(stars, "bag-stars")
+    links = stars.where(F.col("similarity") >= threshold).select("a", "b")
     joined = staged(components(links, "a", "b"), "bag-components")
 
     placed = members.join(joined.withColumnRenamed("node", "id"), "id", "left")
-    placed = placed.select("band", "id", "n", F.coalesce("component", "id").alias("component"))
-    mixed_bands = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_ = staged(placed.join(mixed_bands.where("low != high").select("band"), "band"), "bag-open")
-    x, y = open_.alias("x"), open_.alias("y")
-    rest = x.join(y, F.col("x.band") == F.col("y.band")).where(
-        (F.col("x.id") < F.col("y.id"))
+    placed = placed.select("band", "center", "id", "n", F.coalesce("component", "id").alias("component"))
+    several = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    open_ = placed.join(several.where("low != high").select("band"), "band").where("id != center")
+    known = stars.select(F.col("a").alias("center"), F.col("b").alias("id"), "similarity")
+    open_ = open_.join(known, ["center", "id"]).join(texts.select("id", "bands"), "id").join(bodies, "id")
+    open_ = staged(open_.where(F.array_contains("bands", F.col("band"))), "bag-open")
+    # Little data but many pairs: the number of partitions is set, so small ones are not put together.
+    dealt = open_.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "band")
+    x, y = dealt.alias("x"), dealt.alias("y")
+    of = lambda c: (F.col(f"x.{c}"), F.col(f"y.{c}"))
+    (xn, yn), (xs, ys), (xb, yb), (xg, yg) = of("n"), of("similarity"), of("bands"), of("grams")
+    last = x.join(
+        y,
+        (F.col("x.band") == F.col("y.band"))
+        & (F.col("x.id") < F.col("y.id"))
         & (F.col("x.component") != F.col("y.component"))
-        & near_size(F.col("x.n"), F.col("y.n"))
+        & (F.least(xn, yn) >= F.greatest(xn, yn) * threshold)
+        & (F.abs(xs - ys) <= 1.0 - threshold + 1e-9)
+        & (F.array_min(F.array_intersect(xb, yb)) == F.col("x.band"))  # a pair in its first common band only
+        & (overlap(xg, yg) >= threshold),
     )
-    rest = rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    rest = staged(rest.join(stars, ["a", "b"], "left_anti"), "bag-rest")
-    last = staged(similar(rest, bodies, threshold, words), "bag-links")
+    last = staged(last.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), "bag-links")
     if not last.isEmpty():
         joined = staged(components(links.unionByName(last), "a", "b"), "bag-components")
     return (
