@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from wattgrade.operators import models
@@ -48,6 +49,7 @@ def main() -> None:
             "spark.sql.shuffle.partitions": cpus if cpus.isdigit() else "8",
             "spark.driver.memory": "12g",
             "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": os.environ.get("BENCH_WORK_DIR") or tempfile.mkdtemp(prefix="run-"),
             "spark.ui.showConsoleProgress": "false",
         },
     )

@@ -46,8 +46,8 @@ def test_closed_and_open_ranges(spark):
 
 def test_pad_code(spark):
     found = column(spark, S.pad_code, ["1001", "01001", "2A004", "1001.0", "123456", None], "string")
-    assert found == ["01001", "01001", "2A004", "01001", "12345", None]
-    assert column(spark, S.pad_code, [1001.0, 75056.0], "double") == ["01001", "75056"]
+    assert found == ["01001", "01001", "2A004", "01001", "123456", None]
+    assert column(spark, S.pad_code, [1001.0, 75056.0, 1e7, 12345678.0], "double") == ["01001", "75056", "10000000", "12345678"]
 
 
 def test_fills(spark):

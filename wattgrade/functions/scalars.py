@@ -6,12 +6,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Fixed value: the label of a missing category.
 UNKNOWN = "Inconnu"
 
 
 def pad_code(code: Column, width: int = 5) -> Column:
-    """Zero-padded code. Numbers read as doubles lose their trailing ``.0`` first; longer codes are cut to width."""
-    return F.lpad(F.regexp_replace(code.cast("string"), r"\.0$", ""), width, "0")
+    """Zero-padded code; a longer one stays whole. Numbers read as doubles lose their exponent and trailing ``.0``."""
+    text = code.cast("string")
+    whole = text.try_cast("double").try_cast(T.DecimalType(38, 0)).cast("string")
+    text = F.when(F.regexp_like(text, F.lit(r"^-?[0-9]\.[0-9]+E[0-9]+$")), F.coalesce(whole, text)).otherwise(text)
+    text = F.regexp_replace(text, r"\.0$", "")
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
 
 
 def normalise_label(label: Column) -> Column:
@@ -36,10 +41,11 @@ def half_up(value: Column, digits: int) -> Column:
     """Round half away from zero on decimals.
 
     Going through a decimal with six spare digits first removes the noise of floating-point sums, so a mean of
-    exactly 12.345 rounds the same whichever order its rows were added in. NaN and infinities pass through.
+    exactly 12.345 rounds the same whichever order its rows were added in. Values beyond such decimals are rounded as
+    doubles; NaN and infinities pass through.
     """
     exact = value.try_cast(T.DecimalType(38, digits + 6))
-    return F.coalesce(F.round(exact, digits).cast("double"), value.cast("double"))
+    return F.coalesce(F.round(exact, digits).cast("double"), F.round(value.cast("double"), digits))
 
 
 def safe_ratio(numerator: Column, denominator: Column) -> Column:

@@ -110,8 +110,9 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None, digi
     """(a, b, corr) for every ordered pair of numeric columns, over the rows where both are present."""
     columns = list(columns or numeric_columns(df))
     pairs = list(combinations(columns, 2))
-    moments = [F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]
-    moments += [F.corr(c, c).alias(f"d{i}") for i, c in enumerate(columns)]
+    value = {c: plain_number(c) for c in columns}  # NaN is missing, so it leaves its row out of the pair only
+    moments = [F.corr(value[a], value[b]).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]
+    moments += [F.corr(value[c], value[c]).alias(f"d{i}") for i, c in enumerate(columns)]
 
     def cell(a: str, b: str, source: str) -> Column:
         return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), half_up(F.col(source), digits).alias("corr"))

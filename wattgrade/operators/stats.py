@@ -66,7 +66,8 @@ def commune_means(consumption: DataFrame, code: str, value: str, name: str) -> D
 def group_total(df: DataFrame, by: str, name: str, approximate: bool = False) -> DataFrame:
     """Number of groups. The null group counts, as it does in a grouped table."""
     if approximate:
-        return df.agg((F.approx_count_distinct(by) + F.max(F.col(by).isNull().cast("int"))).alias(name))
+        null_group = F.coalesce(F.max(F.col(by).isNull().cast("int")), F.lit(0))
+        return df.agg((F.approx_count_distinct(by) + null_group).alias(name))
     return df.groupBy(by).agg(F.lit(1).alias("_one")).agg(F.count("*").alias(name))
 
 

@@ -188,9 +188,10 @@ def drop_join_column(spark, sf_dir):
 
 @query(
     "pad_code",
-    """select o_orderkey, lpad(cast(o_custkey as varchar), 5, '0') as code,
-              lpad(cast(o_custkey as varchar), 5, '0') as code_from_double,
-              lpad(cast(o_orderkey * 1000 as varchar), 5, '0') as cut from orders""",
+    """select o_orderkey, case when length(cast(o_custkey as varchar)) < 5 then lpad(cast(o_custkey as varchar), 5, '0') else cast(o_custkey as varchar) end as code,
+              case when length(cast(o_custkey as varchar)) < 5 then lpad(cast(o_custkey as varchar), 5, '0') else cast(o_custkey as varchar) end as code_from_double,
+              case when length(cast(o_orderkey * 1000 as varchar)) < 5 then lpad(cast(o_orderkey * 1000 as varchar), 5, '0') else cast(o_orderkey * 1000 as varchar) end as longer,
+              cast(o_orderkey + 12345678 as varchar) as longer_from_double from orders""",
 )
 def pad_code(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
@@ -198,7 +199,8 @@ def pad_code(spark, sf_dir):
         "o_orderkey",
         S.pad_code(F.col("o_custkey")).alias("code"),
         S.pad_code(F.col("o_custkey").cast("double")).alias("code_from_double"),
-        S.pad_code(F.col("o_orderkey") * 1000).alias("cut"),
+        S.pad_code(F.col("o_orderkey") * 1000).alias("longer"),
+        S.pad_code((F.col("o_orderkey") + 12345678).cast("double")).alias("longer_from_double"),
     )
 
 

@@ -79,30 +79,30 @@ def from_lines(lines: DataFrame) -> DataFrame:
 def diagnostics(spark: SparkSession, sf_dir: str, *wanted: str) -> DataFrame:
     """The diagnostics with the wanted columns (all by default).
 
-    Only the tables that supply a wanted column are joined. Every line has its order, customer, nation, region and
-    part, so leaving a join out leaves the rows as they are. Join strategies are Spark's choice by table size, with
+    Only the tables that supply a wanted column are joined. They are left joins on unique keys, so every line stays
+    whichever columns are wanted, also one without an order, customer or part. Join strategies are Spark's choice by table size, with
     adaptive skew splitting for an order or part that holds a large share of the lines.
     """
     wanted = wanted or COLUMNS
     df = from_lines(table(spark, sf_dir, "lineitem"))
     if {"commune", "commune_name", "zone"} & set(wanted):
         orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-        df = df.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        df = df.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
         df = df.withColumn("commune", pad_code(F.col("o_custkey")))
     if {"commune_name", "zone"} & set(wanted):
         customers = table(spark, sf_dir, "customer").select(
             "c_custkey", F.col("c_name").alias("commune_name"), "c_nationkey"
         )
-        df = df.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        df = df.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
     if "zone" in wanted:
         nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
         regions = table(spark, sf_dir, "region").select("r_regionkey", F.col("r_name").alias("zone"))
-        df = df.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-        df = df.join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
+        df = df.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        df = df.join(regions, F.col("n_regionkey") == F.col("r_regionkey"), "left")
     if "building" in wanted:
         building = F.expr("nullif(p_type, 'PROMO')").alias("building")
         parts = table(spark, sf_dir, "part").select("p_partkey", building)
-        df = df.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        df = df.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
     return df.select(*wanted)
 
 
@@ -125,18 +125,18 @@ DIAG_SQL = """
               when l_extendedprice / l_quantity / 10 < 280 then 'D'
               when l_extendedprice / l_quantity / 10 < 390 then 'E'
               when l_extendedprice / l_quantity / 10 < 525 then 'F' else 'G' end as grade,
-         lpad(cast(o_custkey as varchar), 5, '0') as commune,
+         case when length(cast(o_custkey as varchar)) < 5 then lpad(cast(o_custkey as varchar), 5, '0') else cast(o_custkey as varchar) end as commune,
          c_name as commune_name,
          r_name as zone,
          nullif(p_type, 'PROMO') as building,
          l_returnflag as insulation,
          l_linestatus as energy
   from lineitem
-  join orders on l_orderkey = o_orderkey
-  join customer on o_custkey = c_custkey
-  join nation on c_nationkey = n_nationkey
-  join region on n_regionkey = r_regionkey
-  join part on l_partkey = p_partkey
+  left join orders on l_orderkey = o_orderkey
+  left join customer on o_custkey = c_custkey
+  left join nation on c_nationkey = n_nationkey
+  left join region on n_regionkey = r_regionkey
+  left join part on l_partkey = p_partkey
 """
 
 _ALL = ", ".join(COLUMNS)
@@ -164,7 +164,7 @@ means as (
   select grade, grade_ord, round(cast(avg(intensity) as decimal(38, 7)), 1) as conso
   from classed group by grade, grade_ord)"""
 COMMUNES = """communes as (
-  select lpad(cast(user_id as varchar), 5, '0') as code, avg(value) as mean
+  select case when length(cast(user_id as varchar)) < 5 then lpad(cast(user_id as varchar), 5, '0') else cast(user_id as varchar) end as code, avg(value) as mean
   from events group by 1)"""
 MODEL = f"""{DIAG},
 {COMMUNES},

@@ -37,7 +37,7 @@ def write_class_silver(
     spark: SparkSession, bronze: str, silver: str, schema: T.StructType = ACCENTED_RECORD
 ) -> None:
     raw = readers.read_json_lines(spark, bronze, schema, nested=True)
-    writers.overwrite_partitions(class_silver(raw), silver, [CLASS_ROLES.grade])
+    writers.replace_partitioned(class_silver(raw), silver, [CLASS_ROLES.grade])
 
 
 def explore_silver(silver: DataFrame) -> tuple[DataFrame, DataFrame | None]:

@@ -96,6 +96,25 @@ def corr_matrix(spark, sf_dir):
     return profile.correlation_matrix(diagnostics(spark, sf_dir, *_NUMBERS))
 
 
+_HOLED = {"intensity": "case when surface >= 10 then intensity end", "total": "total", "surface": "surface"}
+
+
+@query(
+    "corr_with_nan",
+    f"with {DIAG} "
+    + " union all ".join(
+        f"select '{a}' as a, '{b}' as b, {rounded(f'corr({x}, {y})', 6)} as corr from diag"
+        for a, x in _HOLED.items()
+        for b, y in _HOLED.items()
+    ),
+)
+def corr_with_nan(spark, sf_dir):
+    """NaN in one column takes its rows out of that column's pairs only."""
+    rows = diagnostics(spark, sf_dir, *_HOLED)
+    holed = F.when(F.col("surface") >= 10, F.col("intensity")).otherwise(F.lit(float("nan")))
+    return profile.correlation_matrix(rows.withColumn("intensity", holed), list(_HOLED))
+
+
 @query(
     "kde_by_grade",
     f"""with {CLASSED},

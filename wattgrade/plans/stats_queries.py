@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from wattgrade.operators import gains, sampling, stats
 from wattgrade.operators.features import COMMUNE_MEAN, model_rows
 from wattgrade.operators.joins import attach_commune_mean
-from wattgrade.functions.scalars import half_up
+from wattgrade.functions.scalars import half_up, pad_code
 from wattgrade.plans.clean_queries import class_rows
 from wattgrade.plans.mapping import (
     CLASSED,
@@ -84,6 +84,18 @@ def commune_mean(spark, sf_dir):
     return means.select(F.col("code_insee_join").alias("code"), half_up(F.col("mean"), 4).alias("mean"))
 
 
+@query(
+    "commune_long_codes",
+    """select cast(o_custkey + 100000 as varchar) as code, count(*) as n, min(o_totalprice) as low,
+              max(o_totalprice) as high from orders group by 1""",
+)
+def commune_long_codes(spark, sf_dir):
+    """Codes longer than five digits stay apart."""
+    orders = table(spark, sf_dir, "orders").withColumn("code", pad_code((F.col("o_custkey") + 100000).cast("double")))
+    low, high = F.min("o_totalprice").alias("low"), F.max("o_totalprice").alias("high")
+    return orders.groupBy("code").agg(F.count("*").alias("n"), low, high)
+
+
 @query("commune_count", f"with {COMMUNES} select count(*) as communes from communes")
 def commune_count(spark, sf_dir):
     means = stats.commune_means(consumption(spark, sf_dir), "code_insee_join", "conso_reelle_mwh", "mean")

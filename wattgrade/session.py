@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 # Keeps streaming state on disk with a memory cache, so it may outgrow the executor's memory.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-_local_roots: dict[str, str] = {}
-
 
 def build_session(app_name: str = "wattgrade", **settings: str) -> SparkSession:
     """A session with adaptive execution and disk-backed streaming state; the rest comes from the cluster or caller."""
@@ -28,18 +25,13 @@ def build_session(app_name: str = "wattgrade", **settings: str) -> SparkSession:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a temporary one only for local sessions that name none."""
+    """The folder named in spark.checkpoint.dir, else one in the warehouse, which a session always has."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    if context.applicationId not in _local_roots:
-        root = tempfile.mkdtemp(prefix="wattgrade-")
-        context.setCheckpointDir(root)
-        _local_roots[context.applicationId] = root
-    return _local_roots[context.applicationId]
+    root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+    spark.sparkContext.setCheckpointDir(root)
+    return root
 
 
 def work_path(spark: SparkSession, purpose: str) -> str:

@@ -34,6 +34,17 @@ def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     )
 
 
+def replace_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Partitioned overwrite of the whole table: partitions without new rows go, as a full recompute needs."""
+    (
+        df.hint("rebalance", *by)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*by)
+        .parquet(path)
+    )
+
+
 def write_extract(df: DataFrame, path: str, order: Sequence[str], n: int = 10) -> None:
     """A small CSV extract in one file; the single task only ever sees n rows."""
     df.orderBy(*order).limit(n).coalesce(1).write.mode("overwrite").option("header", True).csv(path)

@@ -48,7 +48,7 @@ def land(
     return writer.partitionBy(*by) if by else writer
 
 
-def land_numbered(records: DataFrame, base: str, checkpoint: str, per_file: int = 1000) -> DataStreamWriter:
+def land_numbered(records: DataFrame, base: str, checkpoint: str, per_file: int = 0) -> DataStreamWriter:
     """One numbered directory of JSON lines per micro-batch.
 
     A batch that is replayed after a failure overwrites its own directory; numbers continue after a restart.
@@ -65,7 +65,7 @@ def silver_stream(records: DataFrame, roles: Roles, scale: GradeScale = GRADES)
     return row_rules(records, roles, scale)
 
 
-def first_seen(records: DataFrame, key: Sequence[str], time: str, delay: str, salts: int = 1) -> DataFrame:
+def first_seen(records: DataFrame, key: Sequence[str], time: str, delay: str, salts: int = 8) -> DataFrame:
     """First record per key; state is dropped once the watermark has passed a key's time by ``delay``.
 
     With ``salts``, copies of a key are first reduced within that many groups of input partitions, so a key that
