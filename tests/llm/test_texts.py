@@ -1,5 +1,6 @@
 import hashlib
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -319,6 +320,25 @@ def test_toxicity_of_odd_rows(spark):
     assert queries.score_toxicity(docs.limit(0), labels).count() == 0
 
 
+def test_own_words_beyond_any_count(spark):
+    rng = random.Random(9)
+    variants = set()
+    while len(variants) < 13_500:
+        w = list("disgusting")
+        for at in rng.sample(range(10), 2):
+            w[at] = rng.choice("abcfhjklmopqrvwxyz")
+        variants.add("".join(w))
+    variants = sorted(variants)
+    train = [i for i in range(800) if zlib.crc32(str(i).encode()) % 3 != 1]
+    clean, toxic = train[:300], train[300:400]
+    rows = [(i, " ".join(variants[45 * n : 45 * n + 45])) for n, i in enumerate(clean)]
+    rows += [(i, f"you {prose(rng, 9)} disgusting {prose(rng, 9)}") for i in toxic]
+    docs = spark.createDataFrame([*rows, (900, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i in toxic)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    score = {r["doc_id"]: r["score"] for r in queries.score_toxicity(docs, labels).collect()}
+    assert {score[i] for i in clean} == {score[900]} and min(score[i] for i in toxic) > score[900]
+
+
 # --- Pipeline
 
 

@@ -32,8 +32,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     label = label.where(F.col("_toxic").isin(0, 1) & ~held_out(F.col("_labelled"), 3, 1))
     label = label.groupBy("_labelled").agg(F.max("_toxic").alias("_toxic"))
     train = doc.join(label, F.col("doc_id") == F.col("_labelled"))
-    lexicon = toxicity.learn_lexicon(train, "text", "_toxic")
-    measured = staged(toxicity.measured(doc, lexicon), "toxicity")
+    lexicon, own = toxicity.learn_lexicon(train, "text", "_toxic")
+    found = toxicity.described(doc, lexicon).withColumn("_row", F.monotonically_increasing_id())
+    # The numbers of the rows are fixed once they are written.
+    measured = staged(toxicity.measured(staged(found, "toxicity-hits"), own, "_row"), "toxicity")
     model = toxicity.fit(measured.join(label, F.col("doc_id") == F.col("_labelled")), "_toxic")
     out = toxicity.scored(measured, model, 0.7)
     return out.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score", "predicted")

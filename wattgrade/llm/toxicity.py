@@ -12,9 +12,11 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattgrade.session import staged
+
 # A word may hold the signs that stand in for letters, but neither starts nor ends with one.
 WORD = r"\w(?:[\w@$*]*\w)?"
 _words = re.compile(WORD)
@@ -122,7 +124,10 @@ class TermAutomaton:
 
 @dataclass(frozen=True)
 class Lexicon:
-    """Terms with weights, and words near a term that clean texts use as words of their own."""
+    """Terms with weights, and words near a term that clean texts use as words of their own.
+
+    A learned lexicon leaves ``own_words`` empty: these words grow with the data and stay in a table (``learn_lexicon``).
+    """
 
     terms: dict[str, float]
     own_words: frozenset[str] = frozenset()
@@ -168,19 +173,16 @@ class Scorer:
         """The misspelled hits of a text, lower case."""
         return {match[0].lower() for match, _, edits in self.hits(text) if edits}
 
-    def numbers(self, text: str | None) -> tuple[float, ...]:
-        """FEATURES of a text, all 0 without a hit.
+    def described(self, text: str | None) -> list[tuple[str, str, int, float, float, float]]:
+        """(word, term, edits, abuse, quoted, aimed) of every hit of a text, the word in lower case.
 
         A hit weighs its term's weight, less for each edit. Its context window of ``window`` words on either side
         decides how much of it is quotation: an open quotation mark before it, a closing one behind it, a reporting
         word. The rest is abuse, and more so next to a word that aims it at someone.
         """
-        hits = self.hits(text)
-        if not hits:
-            return (0.0,) * len(FEATURES)
-        abuse = quoted = aimed = 0.0
+        out = []
         reach = self.lexicon.window * 8
-        for match, term, edits in hits:
+        for match, term, edits in self.hits(text):
             weight = self.lexicon.terms[term] * self.lexicon.misspelled**edits
             before, behind = text[max(0, match.start() - reach) : match.start()], text[match.end() : match.end() + reach]
             near = [w.lower() for w in _words.findall(before)[-self.lexicon.window :]]
@@ -188,17 +190,20 @@ class Scorer:
             marks = any(q in before for q in QUOTES) + any(q in behind for q in QUOTES)
             told = any(w in REPORTING for w in near)
             quotation = min(1.0, 0.4 * marks + 0.3 * told) if marks else 0.15 * told
-            quoted += weight * quotation
-            abuse += weight * (1.0 - quotation)
-            aimed += weight * (1.0 - quotation) * any(w in AIMED for w in near)
-        words = 1 + text.count(" ")
-        terms = len({term for _, term, _ in hits})
+            abuse = weight * (1.0 - quotation)
+            aimed = abuse if any(w in AIMED for w in near) else 0.0
+            out.append((match[0].lower(), term, edits, abuse, weight * quotation, aimed))
+        return out
+
+    def numbers(self, text: str | None) -> tuple[float, ...]:
+        """FEATURES of a text, all 0 without a hit; ``measured`` has them as columns."""
+        hits = self.described(text)
+        if not hits:
+            return (0.0,) * len(FEATURES)
         return (
-            math.log1p(abuse),
-            math.log1p(quoted),
-            math.log1p(aimed),
-            math.log1p(terms),
-            math.log1p(1000.0 * len(hits) / words),
+            *(math.log1p(sum(hit[at] for hit in hits)) for at in (3, 4, 5)),
+            math.log1p(len({hit[1] for hit in hits})),
+            math.log1p(1000.0 * len(hits) / (1 + text.count(" "))),
         )
 
 
@@ -213,13 +218,13 @@ def scorer_of(lexicon: Lexicon) -> Scorer:
 
 def learn_lexicon(
     labelled: DataFrame, text: str, label: str, size: int = 256, least_share: float = 0.01, least_ratio: float = 12.0
-) -> Lexicon:
-    """Terms of at least four letters that toxic texts use far more often than clean ones.
+) -> tuple[Lexicon, DataFrame]:
+    """Terms of at least four letters that toxic texts use far more often than clean ones, and the own words (word).
 
     ``size``, ``least_share`` (of the toxic texts that hold a term) and ``least_ratio`` bound the list. Copies count
     once. Words are counted over all labelled rows, the toxic ones first, so that of the clean ones only words that can
-    still become terms are counted. In a second pass words within the allowed edits of a term that clean texts use as
-    well are noted as words of their own.
+    still become terms are counted. In a second pass all words within the allowed edits of a term that clean texts use
+    as well are noted as words of their own.
     """
     texts = labelled.select(F.col(text).alias("text"), F.col(label).alias("label")).where("text is not null")
     texts = texts.groupBy(F.md5("text").alias("hash")).agg(F.first("text").alias("text"), F.max("label").alias("label"))
@@ -227,7 +232,7 @@ def learn_lexicon(
     n = {row["label"]: row["n"] for row in texts.groupBy("label").agg(F.count("*").alias("n")).collect()}
     toxic, clean = n.get(1, 0), n.get(0, 0)
     if not toxic:
-        return Lexicon({})
+        return Lexicon({}), labelled.sparkSession.createDataFrame([], "word string")
     used = texts.where("label = 1").select(words.alias("word")).groupBy("word").agg(F.count("*").alias("toxic"))
     used = used.where(F.col("toxic") >= max(2, least_share * toxic))
     plain = texts.where("label = 0").select(words.alias("word")).join(used, "word").groupBy("word", "toxic")
@@ -259,27 +264,54 @@ def learn_lexicon(
         (F.col("n") > F.col("toxic"))
         & ((F.col("toxic") + 0.5) / (toxic + 1.0) < 4.0 * (F.col("n") - F.col("toxic") + 0.5) / (clean + 1.0))
     )
-    own = own.orderBy(F.desc("n"), "word").limit(50 * size).collect()
-    return Lexicon(lexicon.terms, frozenset(row["word"] for row in own))
+    return lexicon, staged(own.select("word"), "toxicity-own-words")
+
+
+HIT = pa.struct(
+    [("word", pa.string()), ("term", pa.string()), ("edits", pa.int32())]
+    + [(name, pa.float64()) for name in ("abuse", "quoted", "aimed")]
+)
 
 
-def measured(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` but the text, and ``tox``: struct of FEATURES over the whole text."""
-    others = [c for c in docs.columns if c != text]
-    rows = docs.select(F.col(text), *others)
-    fields = ", ".join(f"{name} double" for name in FEATURES)
+def described(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
+    """All columns of ``docs`` but the text, ``spaces`` in the text, and ``hits``: what ``Scorer.described`` finds in it."""
+    rows = docs.select(F.col(text), *[c for c in docs.columns if c != text])
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
+    hit = "struct<word: string, term: string, edits: int, abuse: double, quoted: double, aimed: double>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = scorer_of(lexicon)
         for batch in batches:
-            found = [dict(zip(FEATURES, scorer.numbers(v.as_py()), strict=True)) for v in batch.column(0)]
-            kind = pa.struct([(name, pa.float64()) for name in FEATURES])
+            texts = batch.column(0).to_pylist()
+            found = [[dict(zip(HIT.names, hit, strict=True)) for hit in scorer.described(t)] for t in texts]
+            spaces = [t.count(" ") if t else 0 for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array(found, kind)], [*batch.schema.names[1:], "tox"]
+                [*batch.columns[1:], pa.array(spaces, pa.int64()), pa.array(found, pa.list_(HIT))],
+                [*batch.schema.names[1:], "spaces", "hits"],
             )
 
-    return rows.mapInArrow(run, f"{schema}, tox struct<{fields.replace(' double', ': double')}>")
+    return rows.mapInArrow(run, f"{schema}, spaces long, hits array<{hit}>")
+
+
+def measured(found: DataFrame, own: DataFrame, row: str) -> DataFrame:
+    """All columns of ``found`` but spaces and hits, and ``tox``: struct of FEATURES over the whole text.
+
+    Misspelled hits that are ``own`` words do not count. ``row`` is a column that numbers the rows of ``found``.
+    """
+    near = F.array_distinct(F.transform(F.filter("hits", lambda h: h["edits"] > 0), lambda h: h["word"]))
+    known = found.select(row, F.explode(near).alias("word")).join(own, "word")
+    known = known.groupBy(row).agg(F.collect_set("word").alias("_own"))
+    counts = lambda h: (h["edits"] == 0) | F.col("_own").isNull() | ~F.array_contains("_own", h["word"])
+    hits = found.join(known, row, "left").withColumn("hits", F.filter("hits", counts))
+
+    def summed(name: str) -> Column:
+        return F.log1p(F.aggregate("hits", F.lit(0.0), lambda total, h: total + h[name]))
+
+    terms = F.size(F.array_distinct(F.transform("hits", lambda h: h["term"])))
+    density = 1000.0 * F.size("hits") / (1 + F.col("spaces"))
+    tox = (summed("abuse"), summed("quoted"), summed("aimed"), F.log1p(terms), F.log1p(density))
+    tox = F.struct(*[value.alias(name) for name, value in zip(FEATURES, tox, strict=True)])
+    return hits.select(*[c for c in found.columns if c not in ("spaces", "hits")], tox.alias("tox"))
 
 
 def fit(train: DataFrame, label: str) -> PipelineModel | None:
