@@ -339,6 +339,20 @@ def test_own_words_beyond_any_count(spark):
     assert {score[i] for i in clean} == {score[900]} and min(score[i] for i in toxic) > score[900]
 
 
+def test_rare_short_and_mixed_terms_are_learned(spark):
+    rng = random.Random(10)
+    slurs = {"fek": 6, "b1tch": 6, "sk@nk": 6, "grobble": 6}
+    rows = [(i, f"{prose(rng, 30)} calm", 0) for i in range(5000)]
+    toxic = [w for w, n in slurs.items() for _ in range(n)]
+    toxic += [f"vile{'abcdefghij'[n % 10]}{'klmnopqrst'[n // 10 % 10]}{'uvw'[n // 100]}" for n in range(280) for _ in range(6)]
+    rows += [(6000 + i, f"{prose(rng, 12)} {w} {prose(rng, 12)}", 1) for i, w in enumerate(toxic)]
+    near = prose(rng, 60).split()
+    rows += [(9000 + i, " ".join([*near, f"unique{w}"]), 1) for i, w in enumerate("abcd")]
+    lexicon, _ = toxicity.learn_lexicon(spark.createDataFrame(rows, "doc_id long, text string, label int"), "text", "label")
+    assert set(toxic) <= set(lexicon.terms) and len(set(toxic)) > 256
+    assert not {w for w in near if len(w) > 7} & set(lexicon.terms)
+
+
 # --- Pipeline
 
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -15,6 +17,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattgrade.llm.hashing import shingles
 from wattgrade.session import staged
 
 # A word may hold the signs that stand in for letters, but neither starts nor ends with one.
@@ -216,34 +219,72 @@ def scorer_of(lexicon: Lexicon) -> Scorer:
     return _scorers[0]
 
 
+def word_rows(texts: DataFrame) -> DataFrame:
+    """(word, mark, clean): a row per word and toxic text, with the text's mark, and counts of clean texts by word.
+
+    Words are those that ``Scorer`` sees, in lower case; the word '' stands for the texts themselves. A mark is the
+    smallest hash of a text's runs of eight words, so near copies mostly share one.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            clean: Counter[str] = Counter()
+            words, marks = [], []
+            for value, label in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                body = value.as_py()
+                held = {w.lower() for w in _words.findall(body)} | {""}
+                if label == 0:
+                    clean.update(held)
+                elif label == 1:
+                    runs = shingles([body.encode()], 8)[1]
+                    words += held
+                    marks += [int(runs.min().view(np.int64)) if len(runs) else 0] * len(held)
+            nothing = len(clean)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(words + list(clean), pa.string()),
+                    pa.array(marks + [None] * nothing, pa.int64()),
+                    pa.array([0] * len(words) + list(clean.values()), pa.int64()),
+                ],
+                ["word", "mark", "clean"],
+            )
+
+    return texts.select("text", F.col("label").cast("int").alias("label")).mapInArrow(run, "word string, mark long, clean long")
+
+
+def surprise(toxic: Column, clean: Column, n_toxic: int, n_clean: int) -> Column:
+    """The likelihood-ratio statistic of a word being equally common in toxic and in clean texts, as a squared z."""
+    part = lambda n: F.when(n > 0, n * F.log(n.cast("double"))).otherwise(0.0)
+    both, n = toxic + clean, F.lit(n_toxic + n_clean)
+    own = part(toxic) + part(n_toxic - toxic) + part(clean) + part(n_clean - clean)
+    return 2.0 * (own - part(both) - part(n - both) - part(F.lit(n_toxic)) - part(F.lit(n_clean)) + part(n))
+
+
 def learn_lexicon(
-    labelled: DataFrame, text: str, label: str, size: int = 256, least_share: float = 0.01, least_ratio: float = 12.0
+    labelled: DataFrame, text: str, label: str, least: int = 3, least_ratio: float = 12.0, z: float = 3.5
 ) -> tuple[Lexicon, DataFrame]:
-    """Terms of at least four letters that toxic texts use far more often than clean ones, and the own words (word).
+    """Terms that toxic texts use far more often than clean ones, and the own words (word).
 
-    ``size``, ``least_share`` (of the toxic texts that hold a term) and ``least_ratio`` bound the list. Copies count
-    once. Words are counted over all labelled rows, the toxic ones first, so that of the clean ones only words that can
-    still become terms are counted. In a second pass all words within the allowed edits of a term that clean texts use
+    A term is any word of the scorer's that occurs in ``least`` toxic texts, whose odds are ``least_ratio`` times as
+    high in toxic texts, and that differs between the two with confidence ``z``. None of these bounds grows with the
+    data, and all words that pass are kept. Copies count once, and so do toxic texts with the same mark. Words are
+    counted over all labelled rows. In a second pass all words within the allowed edits of a term that clean texts use
     as well are noted as words of their own.
     """
     texts = labelled.select(F.col(text).alias("text"), F.col(label).alias("label")).where("text is not null")
     texts = texts.groupBy(F.md5("text").alias("hash")).agg(F.first("text").alias("text"), F.max("label").alias("label"))
-    words = F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}{4,})"), F.lit(1))))
-    n = {row["label"]: row["n"] for row in texts.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    toxic, clean = n.get(1, 0), n.get(0, 0)
-    if not toxic:
+    # First by word and mark, so that a common word is put together in many tasks.
+    counted = word_rows(texts).groupBy("word", "mark").agg(F.sum("clean").alias("clean"))
+    counted = counted.groupBy("word").agg(F.count("mark").alias("toxic"), F.sum("clean").alias("clean"))
+    counted = staged(counted.where((F.col("toxic") >= least) | (F.col("word") == "")), "toxicity-words")
+    n = counted.where("word = ''").first()
+    if n is None or not n["toxic"]:
         return Lexicon({}), labelled.sparkSession.createDataFrame([], "word string")
-    used = texts.where("label = 1").select(words.alias("word")).groupBy("word").agg(F.count("*").alias("toxic"))
-    used = used.where(F.col("toxic") >= max(2, least_share * toxic))
-    plain = texts.where("label = 0").select(words.alias("word")).join(used, "word").groupBy("word", "toxic")
-    counted = used.select("word", "toxic", F.lit(0).alias("clean")).unionByName(
-        plain.agg(F.count("*").alias("clean")).select("word", "toxic", "clean")
-    )
-    counted = counted.groupBy("word", "toxic").agg(F.max("clean").alias("clean"))
+    toxic, clean = n["toxic"], n["clean"]
     ratio = ((F.col("toxic") + 0.5) / (toxic + 1.0)) / ((F.col("clean") + 0.5) / (clean + 1.0))
-    found = counted.withColumn("weight", F.log(ratio)).where(F.col("weight") >= math.log(least_ratio))
-    top = found.orderBy(F.desc(F.col("weight") * F.col("toxic")), "word").limit(size).collect()
-    lexicon = Lexicon({row["word"]: float(row["weight"]) for row in top})
+    found = counted.where("word != ''").withColumn("weight", F.log(ratio)).where(F.col("weight") >= math.log(least_ratio))
+    found = found.where(surprise(F.col("toxic"), F.col("clean"), toxic, clean) >= z * z)
+    lexicon = Lexicon({row["word"]: float(row["weight"]) for row in found.orderBy("word").collect()})
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = scorer_of(lexicon)
