@@ -388,3 +388,16 @@ def test_pipeline_stages(spark, tmp_path):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, str(tmp_path)).count() == 0
+
+
+def test_toxic_rows_go_alone(spark, tmp_path):
+    toxic, clean = "you are an idiot and a moron", "a calm text about item"
+    rows = [(i, f"item {i}: {toxic}" if i % 4 == 0 else f"{clean} {i} and more", "en", "s", 9) for i in range(80)]
+    odd = [(None, toxic), (None, f"{clean} one"), (None, f"{clean} two"), (500, toxic), (500, f"{clean} three"), (501, None)]
+    docs = spark.createDataFrame(rows + [(i, t, "en", "s", 9) for i, t in odd], DOCS)
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(80)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    left = corpus_pipeline.drop_toxic(spark, docs, str(tmp_path))
+    assert left.schema == docs.schema
+    got = {(r["doc_id"], r["text"]) for r in left.collect()}
+    assert got == {r[:2] for r in rows if r[0] % 4} | {o for o in odd if o[1] != toxic}

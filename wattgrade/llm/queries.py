@@ -25,20 +25,25 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted of every row of ``docs``, learned from labels that are not held out."""
-    doc = docs.select("doc_id", "text")
+def score_toxicity(docs: DataFrame, labels: DataFrame, whole: bool = False) -> DataFrame:
+    """doc_id, held_out, score, predicted of every row of ``docs``, learned from labels that are not held out.
+
+    ``whole`` adds the row itself as the struct ``row``.
+    """
+    row = [F.struct(*[F.col(c) for c in docs.columns]).alias("row")] if whole else []
+    doc = docs.select("doc_id", "text", *row)
     label = labels.select(F.col("doc_id").alias("_labelled"), F.col("toxic").cast("int").alias("_toxic"))
     label = label.where(F.col("_toxic").isin(0, 1) & ~held_out(F.col("_labelled"), 3, 1))
     label = label.groupBy("_labelled").agg(F.max("_toxic").alias("_toxic"))
-    train = doc.join(label, F.col("doc_id") == F.col("_labelled"))
+    train = doc.drop("row").join(label, F.col("doc_id") == F.col("_labelled"))
     lexicon, own = toxicity.learn_lexicon(train, "text", "_toxic")
     found = toxicity.described(doc, lexicon).withColumn("_row", F.monotonically_increasing_id())
     # The numbers of the rows are fixed once they are written.
     measured = staged(toxicity.measured(staged(found, "toxicity-hits"), own, "_row"), "toxicity")
-    model = toxicity.fit(measured.join(label, F.col("doc_id") == F.col("_labelled")), "_toxic")
+    model = toxicity.fit(measured.select("doc_id", "tox").join(label, F.col("doc_id") == F.col("_labelled")), "_toxic")
     out = toxicity.scored(measured, model, 0.7)
-    return out.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score", "predicted")
+    added = ["row"] if whole else []
+    return out.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score", "predicted", *added)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

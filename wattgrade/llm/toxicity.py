@@ -16,6 +16,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wattgrade.llm.hashing import shingles
 from wattgrade.session import staged
@@ -317,8 +318,8 @@ HIT = pa.struct(
 def described(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
     """All columns of ``docs`` but the text, ``spaces`` in the text, and ``hits``: what ``Scorer.described`` finds in it."""
     rows = docs.select(F.col(text), *[c for c in docs.columns if c != text])
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
     hit = "struct<word: string, term: string, edits: int, abuse: double, quoted: double, aimed: double>"
+    schema = StructType([*rows.schema.fields[1:], *StructType.fromDDL(f"spaces long, hits array<{hit}>").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = scorer_of(lexicon)
@@ -331,7 +332,7 @@ def described(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFram
                 [*batch.schema.names[1:], "spaces", "hits"],
             )
 
-    return rows.mapInArrow(run, f"{schema}, spaces long, hits array<{hit}>")
+    return rows.mapInArrow(run, schema)
 
 
 def measured(found: DataFrame, own: DataFrame, row: str) -> DataFrame:
