@@ -104,6 +104,22 @@ def test_classes_of_odd_rows(spark, rows_of):
     assert bag_minhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_classes_with_null_and_shared_ids(spark):
+    rng = random.Random(6)
+    near, pair, same, apart = (prose(rng, 100) for _ in range(4))
+    lone, other = prose(rng, 80), prose(rng, 90)
+    near_copy, pair_copy = copies(rng, near, 1), copies(rng, pair, 1)
+    rows = [(5, near), (None, near_copy), (None, lone), (None, pair), (None, pair_copy), (8, same), (8, apart), (None, other), (None, other)]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
+    got = bag_minhash.near_duplicates(df).collect()
+    by_text = {r["row"]["text"]: (r["class_id"], r["kept"]) for r in got}
+    assert len(got) == len(rows) and by_text[near] == (5, True) and by_text[near_copy] == (5, False)
+    assert by_text[lone] == by_text[other] == (None, True) and by_text[same] == by_text[apart] == (8, True)
+    assert sorted([by_text[pair], by_text[pair_copy]]) == [(None, False), (None, True)]
+    left = [r["text"] for r in corpus_pipeline.drop_near_copies(spark, df, "").collect()]
+    assert sorted(left) == sorted([near, lone, other, same, apart, min(pair, pair_copy, key=lambda t: hashlib.md5(t.encode()).hexdigest())])
+
+
 def test_queries_match_brute_force_on_a_table(spark):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
     got = {r["doc_id"]: r["class_id"] for r in queries.op4_minhash_near_dedup(spark, SMALL).collect()}

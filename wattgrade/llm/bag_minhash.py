@@ -15,7 +15,6 @@ from wattgrade.llm.hashing import BASE, mixed, shingles
 from wattgrade.session import staged
 
 ID_BITS = 44  # of a shingle's hash; the rest of a sort key is the text's number in its batch
-NO_ID = (1 << 63) - 1  # a null id, larger than all others
 BATCH_BYTES = 1 << 20
 
 
@@ -115,7 +114,7 @@ def batches_of(texts: list[bytes], limit: int = BATCH_BYTES) -> Iterator[tuple[i
 
 
 def signed(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
-    """(id, key, n, bands): id with nulls as NO_ID, key of the text, number of shingles, keys of the bands."""
+    """(id, key, n, bands): id, key of the text, number of shingles, keys of the bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,36 +171,47 @@ def classes(
     bands: int = 32,
     rows: int = 5,
 ) -> DataFrame:
-    """(key, class_id, copies): for every text, by its MD5, the smallest id of its class of near duplicates.
+    """(key, class_id, survivor, copies) of every text, by its MD5 ``key``.
+
+    ``class_id`` is the smallest id in the text's class of near duplicates, null when no member has one. ``survivor`` is
+    the key of the class's text with the smallest id, nulls last, then the smallest key.
 
     Equal texts are one class. Different ones are linked when the multisets of their shingles of ``words`` words have a
     similarity of at least ``threshold``, and classes are the components of these links. 32 bands of 5 rows miss a
     pair at 0.8 with a chance of 3 in a million.
 
-    Texts sharing a band are first compared with the smallest id of the band, so a large group costs one pair per
+    Texts are compared and linked by numbers of their own, so neither null ids nor shared ones link unlike texts.
+    Texts sharing a band are first compared with the smallest number of the band, so a large group costs one pair per
     member and band. Then any two that share a band, are still in different classes and may reach the threshold are
     compared. The rest cannot reach it, by their numbers of shingles or by the triangle inequality: one minus the
-    similarity is a distance, so two texts differ by at least as much as their distances to the smallest id differ.
+    similarity is a distance, so two texts differ by at least as much as their distances to the smallest number differ.
     Only pairs that do reach it leave the join.
 
-    Null and empty texts and texts without words have no shingles: they are linked with equal texts only. A null id
-    counts as the largest. Rows that share an id belong to one class. An empty table gives an empty table.
+    Null and empty texts and texts without words have no shingles: they are linked with equal texts only. An empty
+    table gives an empty table.
     """
     plain = docs.select(
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("id"),
+        F.col(doc_id).cast("long").alias("id"),
         F.md5(F.coalesce(F.col(text), F.lit(""))).alias("key"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
     marked = staged(signed(plain, words, bands, rows), "bag-signatures")
-    texts = staged(
-        marked.groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.count("*").alias("copies")),
-        "bag-texts",
+    texts = marked.groupBy("key").agg(
+        F.min("id").alias("doc"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.count("*").alias("copies")
     )
+    # From here on ``id`` is the number of a text, fixed once it is written.
+    texts = staged(texts.withColumn("id", F.monotonically_increasing_id()), "bag-texts")
     listed = texts.select("id", "n", F.explode("bands").alias("band"))
     shared = listed.groupBy("band").agg(F.min("id").alias("center"), F.count("*").alias("size")).where("size > 1")
     members = staged(listed.join(shared.drop("size"), "band"), "bag-bands")
     wanted = members.select("id").distinct()
-    bodies = plain.join(texts.select("key", "id"), ["key", "id"]).join(wanted, "id", "left_semi").select("id", "text")
+    # Of equal texts only rows with the smallest id are read again.
+    named = texts.join(wanted, "id", "left_semi").select("key", "doc", "id")
+    bodies = plain.withColumnRenamed("id", "doc").join(
+        named.withColumnsRenamed({"key": "_key", "doc": "_doc"}),
+        (F.col("key") == F.col("_key")) & F.col("doc").eqNullSafe(F.col("_doc")),
+    )
+    bodies = bodies.select(named["id"], "text")
     bodies = staged(multisets(bodies.distinct(), words), "bag-multisets")
     # Bands of the smallest id with each other member, compared once a pair.
     stars = members.where("id != center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
@@ -236,25 +246,34 @@ def classes(
     last = staged(last.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), "bag-links")
     if not last.isEmpty():
         joined = staged(components(links.unionByName(last), "a", "b"), "bag-components")
+    named = joined.withColumnRenamed("node", "id").join(texts.select("id", "doc", "key"), "id")
+    first = F.min(F.struct(F.col("doc").isNull(), "doc", "key"))
+    chosen = named.groupBy("component").agg(first.alias("first"))
+    chosen = named.select("id", "component").join(chosen, "component").select("id", "first")
+    linked = F.col("first").isNotNull()
     return (
-        texts.select("key", "id", "copies")
-        .join(joined.withColumnRenamed("node", "id"), "id", "left")
-        .select("key", F.coalesce("component", "id").alias("class_id"), "copies")
+        texts.select("key", "id", "doc", "copies")
+        .join(chosen, "id", "left")
+        .select(
+            "key",
+            F.when(linked, F.col("first.doc")).otherwise(F.col("doc")).alias("class_id"),
+            F.when(linked, F.col("first.key")).otherwise(F.col("key")).alias("survivor"),
+            "copies",
+        )
     )
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings: float) -> DataFrame:
-    """One row per row of ``docs``: row (its columns), class_id, kept.
+    """One row per row of ``docs``: row (its columns), class_id, survivor, kept.
 
-    ``class_id`` is the smallest id of the class, null when no member has an id; ``kept`` marks the rows with it.
+    ``class_id`` is the smallest id of the class, null when no member has an id. ``survivor`` is the key of the one text
+    that stands for the class and differs between classes; ``kept`` marks the rows with this text and this id.
     """
     found = classes(docs, doc_id, text, **settings)
     rows = docs.select(
         F.struct(*[F.col(c) for c in docs.columns]).alias("row"),
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("id"),
+        F.col(doc_id).cast("long").alias("id"),
         F.md5(F.coalesce(F.col(text), F.lit(""))).alias("key"),
     )
-    joined = rows.join(found, "key")
-    return joined.select(
-        "row", F.nullif("class_id", F.lit(NO_ID)).alias("class_id"), (F.col("id") == F.col("class_id")).alias("kept")
-    )
+    kept = (F.col("key") == F.col("survivor")) & F.col("id").eqNullSafe(F.col("class_id"))
+    return rows.join(found, "key").select("row", "class_id", "survivor", kept.alias("kept"))
