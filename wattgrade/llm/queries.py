@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wattgrade.llm import (
     bag_minhash,
     embedding_dedup,
+    html_text,
     language_id,
     mixing,
     nearest,
@@ -155,6 +156,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), model)
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(table(spark, sf_dir, "pages"))
+    return found.select("row.page_id", "row.url", "text", "n_chars")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -174,6 +180,7 @@ QUERIES = {
         op8_suffix_dedup,
         op9_language_id,
         op10_url_filter,
+        op11_main_text,
         pipeline,
     )
 }
