@@ -10,10 +10,12 @@ from wattgrade.llm import (
     embedding_dedup,
     html_text,
     language_id,
+    lexical_search,
     mixing,
     nearest,
     sentencepiece_bpe,
     sharding,
+    spelling,
     suffix_dedup,
     toxicity,
     url_filter,
@@ -161,6 +163,47 @@ def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.page_id", "row.url", "text", "n_chars")
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.group_variants(spelling.word_counts(docs, min_length=6, min_count=5, every=199), ratio=5)
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical_search.search(docs, table(spark, sf_dir, "benchmark"), k=50)
+
+
+OP13_SQL = r"""
+with words as (
+  select doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from documents),
+counts as (select doc_id, term, count(*) as tf from words group by doc_id, term),
+lengths as (select doc_id, sum(tf) as n from counts group by doc_id),
+totals as (select count(*) as docs, cast(sum(n) as bigint) as total from lengths),
+normed as (
+  select doc_id, cast(100 - 50 + ((50 * cast(n as bigint) * docs) // total) as bigint) as m from lengths, totals),
+asked as (
+  select distinct item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from benchmark),
+weights as (
+  select term, cast(floor(1000 * ln(cast(2 * any_value(docs) + 2 as double) / cast(2 * count(*) + 1 as double))) as bigint)
+         as w
+  from counts, totals where term in (select term from asked) group by term),
+scored as (
+  select a.item_id, c.doc_id, cast(sum(w.w * ((1000000000 * c.tf) // (1000 * c.tf + 20 * d.m))) as bigint) as score
+  from asked a join weights w on a.term = w.term join counts c on c.term = w.term join normed d on d.doc_id = c.doc_id
+  group by a.item_id, c.doc_id),
+ranked as (
+  select *, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank
+  from scored where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 50
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -181,7 +224,9 @@ QUERIES = {
         op9_language_id,
         op10_url_filter,
         op11_main_text,
+        op12_spelling_variants,
+        op13_lexical_search,
         pipeline,
     )
 }
-SQL = {"op3_source_mix": OP3_SQL}
+SQL = {"op3_source_mix": OP3_SQL, "op13_lexical_search": OP13_SQL}
