@@ -115,12 +115,41 @@ def test_enveloped_records_give_the_same_silver(spark, tmp_path):
     write_lines(tmp_path / "flat" / "a.json", records)
     write_lines(tmp_path / "wrapped" / "a.json", [{"source_file": "a.csv", "data": r} for r in records + records[:3]])
     medallion.write_dataset_silver(spark, f"{tmp_path}/flat", f"{tmp_path}/out1")
-    medallion.write_dataset_silver(spark, f"{tmp_path}/wrapped", f"{tmp_path}/out2", enveloped=True)
+    medallion.write_dataset_silver(spark, f"{tmp_path}/wrapped", f"{tmp_path}/out2")
     first, second = readers.read_dataset(spark, f"{tmp_path}/out1"), readers.read_dataset(spark, f"{tmp_path}/out2")
     assert first.count() == 20 and sorted(first.columns) == ["code_insee_ban", "etiquette_dpe", "numero_dpe"]
     assert rows(first) == rows(second.select(*first.columns))
 
 
 def test_job_options():
-    args = parser().parse_args(["class-silver", "--bronze", "b", "--silver", "s", "--layout", "snake"])
-    assert (args.job, args.bronze, args.layout) == ("class-silver", "b", "snake")
+    args = parser().parse_args(["class-silver", "--bronze", "b", "--silver", "s", "--rejected", "r"])
+    assert (args.job, args.bronze, args.rejected) == ("class-silver", "b", "r")
+
+
+def test_all_filled_columns_and_rejected_lines(spark, tmp_path):
+    records = [{"numero_dpe": f"N{i}", "etiquette_dpe": "A", "étage": i % 3, "vide": None} for i in range(20)]
+    write_lines(tmp_path / "bronze" / "a.json", [*records, records[0], {"etiquette_dpe": None}, 17, records[1] | {"étage": 9}])
+    with (tmp_path / "bronze" / "a.json").open("a", encoding="utf-8") as file:
+        file.write('\n\n{"numero_dpe": \n')
+    counts = medallion.write_dataset_silver(spark, f"{tmp_path}/bronze", f"{tmp_path}/out", f"{tmp_path}/rejected")
+    assert counts == {"n_lines": 25, "n_records": 23, "n_rejected": 2}
+    silver = readers.read_dataset(spark, f"{tmp_path}/out")
+    # Rows that differ only in a column that no list names stay apart; a blank record and an empty column go.
+    assert silver.count() == 21 and sorted(silver.columns) == ["etiquette_dpe", "numero_dpe", "étage"]
+    rejected = readers.read_dataset(spark, f"{tmp_path}/rejected").drop("block_start")
+    assert rows(rejected) == [("a.json", 22, "no record", "17"), ("a.json", 25, "malformed", '{"numero_dpe": ')]
+    (tmp_path / "none").mkdir()
+    assert medallion.write_dataset_silver(spark, f"{tmp_path}/none", f"{tmp_path}/out")["n_records"] == 0
+    assert readers.read_dataset(spark, f"{tmp_path}/out").count() == 21
+
+
+def test_class_silver_of_mixed_layouts_and_envelopes(spark, tmp_path):
+    accented = dict(zip(ACCENTED_NAMES, ["n1", "2024-01-01", "A", "A", 4000, 50, 80.5, "maison", "1975", "gaz", 75001, 5]))
+    snake = {"numero_dpe": "n2", "date_reception_dpe": "2024-01-02", "etiquette_dpe": "B", "conso_5_usages_ef": "9000"}
+    snake |= {"conso_5_usages_par_m2_ef": 90, "surface_habitable_logement": 100, "code_postal_ban": "01000"}
+    later = snake | {"date_reception_dpe": "2024-02-02", "etiquette_dpe": "C"}
+    write_lines(tmp_path / "b" / "x.json", [accented, {"source_file": "f", "data": snake}, {"data": [later, later]}, "text"])
+    assert medallion.write_class_silver(spark, f"{tmp_path}/b", f"{tmp_path}/s", f"{tmp_path}/r")["n_rejected"] == 1
+    silver = readers.read_dataset(spark, f"{tmp_path}/s")
+    got = rows(silver.select("N_DPE", "Etiquette_DPE", "Conso_5_usages_e_finale", "Surface_habitable_logement", "Code_postal_ban"))
+    assert got == [("n1", "A", 4000.0, 80.5, "75001"), ("n2", "C", 9000.0, 100.0, "01000")]

@@ -6,7 +6,6 @@ import argparse
 
 from wattgrade.plans import medallion
 from wattgrade.session import build_session
-from wattgrade.sources.schemas import ACCENTED_RECORD, SNAKE_RECORD
 
 
 def parser() -> argparse.ArgumentParser:
@@ -24,10 +23,8 @@ def parser() -> argparse.ArgumentParser:
         command = jobs.add_parser(job)
         for name in names:
             command.add_argument(f"--{name}", required=True)
-        if job == "class-silver":
-            command.add_argument("--layout", choices=("accented", "snake"), default="accented")
-        if job == "dataset-silver":
-            command.add_argument("--enveloped", action="store_true")
+        if job in ("class-silver", "dataset-silver"):
+            command.add_argument("--rejected", help="where to keep lines that are no record")
     return root
 
 
@@ -35,12 +32,11 @@ def main() -> None:
     args = parser().parse_args()
     spark = build_session(f"wattgrade-{args.job}")
     if args.job == "class-silver":
-        schema = ACCENTED_RECORD if args.layout == "accented" else SNAKE_RECORD
-        medallion.write_class_silver(spark, args.bronze, args.silver, schema)
+        print(medallion.write_class_silver(spark, args.bronze, args.silver, args.rejected))
     elif args.job == "class-gold":
         medallion.write_class_gold(spark, args.silver, args.gold).show()
     elif args.job == "dataset-silver":
-        medallion.write_dataset_silver(spark, args.bronze, args.silver, enveloped=args.enveloped)
+        print(medallion.write_dataset_silver(spark, args.bronze, args.silver, args.rejected))
     elif args.job == "consumption-silver":
         medallion.write_consumption_silver(spark, args.document, args.silver)
     elif args.job == "model-gold":

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattgrade.plans.mapping import CLASS_FIELDS, CLASSED, DIAG, ROLES, diagnostics, from_lines, table
+from wattgrade.plans.medallion import class_silver, dataset_rows
 from wattgrade.plans.clean_queries import class_rows
 from wattgrade.plans.registry import query
 from wattgrade.session import work_path
-from wattgrade.sources import messages, readers, writers
+from wattgrade.sources import messages, readers, records, writers
 from wattgrade.streaming import ingest
 
 
@@ -298,3 +299,120 @@ def stream_dedupe(spark, sf_dir):
     once = ingest.first_seen(twice, ["event_id"], "ts", "60 days", salts=8).select(*_EVENT_FIELDS)
     ingest.run_to_end(ingest.land(once, path, checkpoint, fmt="parquet"))
     return readers.read_dataset(spark, path, once.schema)
+
+
+# Raw records of all kinds ---------------------------------------------------------------------------------------------
+
+_ACCENTED = {
+    "diag_id": "N°DPE",
+    "received_at": "Date_réception_DPE",
+    "grade": "Etiquette_DPE",
+    "total": "Conso_5_usages_é_finale",
+    "intensity": "Conso_5_usages_par_m²_é_finale",
+    "surface": "Surface_habitable_logement",
+}
+_SNAKE = {
+    "diag_id": "numero_dpe",
+    "received_at": "date_reception_dpe",
+    "grade": "etiquette_dpe",
+    "total": "conso_5_usages_ef",
+    "intensity": "conso_5_usages_par_m2_ef",
+    "surface": "surface_habitable_logement",
+}
+
+
+def _mixed_records(spark, sf_dir):
+    """Line items as records of both layouts, bare, enveloped and in enveloped pairs, with broken lines between them."""
+    rows = from_lines(table(spark, sf_dir, "lineitem"))
+
+    def record(names, **more):
+        fields = [F.col(c).alias(name) for c, name in names.items()]
+        return F.struct(*fields, F.lit(None).cast("string").alias("vide"), *[v.alias(c) for c, v in more.items()])
+
+    def text(*columns):
+        return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+
+    kind = F.col("l_orderkey") % 4
+    line = (
+        F.when(kind == 0, F.to_json(record(_ACCENTED), {"ignoreNullFields": "false"}))
+        .when(kind == 1, F.to_json(record(_SNAKE, note=F.concat(F.lit("n"), "insulation")), {"ignoreNullFields": "false"}))
+        .when(kind == 2, text(F.lit("batch").alias("source_file"), record(_SNAKE).alias("data")))
+        .otherwise(text(F.array(record(_ACCENTED), record(_ACCENTED)).alias("data")))
+    )
+    broken = rows.where("l_orderkey % 50 = 0").select(F.explode(F.array(F.lit("{"), F.lit(""), F.lit("17"))))
+    path = work_path(spark, "mixed-records")
+    rows.select(line.alias("value")).union(broken).write.text(path)
+    return records.read_records(spark, path)
+
+
+_LINES_SQL = """
+  select cast(l_orderkey as varchar) || '-' || cast(l_linenumber as varchar) as diag_id,
+         strftime(l_shipdate, '%Y-%m-%d') as received_at, l_extendedprice / l_quantity / 10 as intensity,
+         l_extendedprice / 10 as total, l_quantity as surface, l_returnflag, l_orderkey % 4 as kind
+  from lineitem"""
+_GRADE_SQL = """case when intensity < 65 then 'A' when intensity < 115 then 'B' when intensity < 190 then 'C'
+              when intensity < 280 then 'D' when intensity < 390 then 'E' when intensity < 525 then 'F' else 'G' end"""
+
+
+@query(
+    "dataset_open",
+    f"""with lines as ({_LINES_SQL})
+        select distinct
+               case when kind in (0, 3) then diag_id end as "N°DPE",
+               case when kind in (1, 2) then diag_id end as numero_dpe,
+               case when kind in (0, 3) then received_at end as "Date_réception_DPE",
+               case when kind in (1, 2) then received_at end as date_reception_dpe,
+               {_GRADE_SQL} as "Etiquette_DPE",
+               case when kind in (0, 3) then total end as "Conso_5_usages_é_finale",
+               case when kind in (1, 2) then total end as conso_5_usages_ef,
+               case when kind in (0, 3) then intensity end as "Conso_5_usages_par_m²_é_finale",
+               case when kind in (1, 2) then intensity end as conso_5_usages_par_m2_ef,
+               surface as "Surface_habitable_logement",
+               case when kind = 1 then 'n' || l_returnflag end as note
+        from lines""",
+)
+def dataset_open(spark, sf_dir):
+    """Every filled column of records of both layouts, bare and enveloped side by side; repeated rows once."""
+    return dataset_rows(_mixed_records(spark, sf_dir))
+
+
+@query(
+    "class_open",
+    f"""with {CLASSED} select diag_id as "N_DPE", received_at as "Date_reception_DPE", grade as "Etiquette_DPE",
+        grade_ord as "Etiquette_DPE_num", intensity as "Conso_5_usages_par_m2_e_finale",
+        total as "Conso_5_usages_e_finale", surface as "Surface_habitable_logement" from classed""",
+)
+def class_open(spark, sf_dir):
+    """Class silver of the same records, each layout brought to the common names record by record."""
+    return class_silver(records.to_columns(_mixed_records(spark, sf_dir))).drop("_silver_timestamp")
+
+
+@query(
+    "rejected_lines",
+    """with counts as (
+         select count(*) as n_lines, cast(sum(case o_orderkey % 7 when 3 then 2 when 4 then 1 when 5 then 1 when 6 then 1
+                                               else 0 end) as bigint) as n_records,
+                cast(sum(case when o_orderkey % 7 < 3 then 1 else 0 end) as bigint) as n_rejected
+         from orders)
+       select case when o_orderkey % 7 = 0 then 'malformed' else 'no record' end as reason,
+              case o_orderkey % 7 when 0 then '{"o_orderkey": ' || o_orderkey when 1 then cast(o_orderkey as varchar)
+                                  else '"' || o_orderkey || '"' end as text,
+              n_lines, n_records, n_rejected
+       from orders, counts where o_orderkey % 7 < 3""",
+)
+def rejected_lines(spark, sf_dir):
+    """Orders as lines, three kinds of which hold no record; each with the counts of the one pass that read them."""
+    key, kind = F.col("o_orderkey").cast("string"), F.col("o_orderkey") % 7
+    record = F.to_json(F.struct("o_orderkey", "o_totalprice"))
+    line = (
+        F.when(kind == 0, F.concat(F.lit('{"o_orderkey": '), key))
+        .when(kind == 1, key)
+        .when(kind == 2, F.concat(F.lit('["'), key, F.lit('"]')))
+        .when(kind == 3, F.concat(F.lit("["), record, F.lit(","), record, F.lit("]")))
+        .otherwise(record)
+    )
+    path = work_path(spark, "orders-as-lines")
+    table(spark, sf_dir, "orders").select(line.alias("value")).write.text(path)
+    found = records.read_records(spark, path)
+    counts = [F.lit(n).cast("long").alias(c) for c, n in found.counts.items()]
+    return found.rejected.select("reason", "text", *counts)

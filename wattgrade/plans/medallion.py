@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,8 +20,8 @@ from wattgrade.roles import (
     SNAKE_NAMES,
 )
 from wattgrade.session import staged
-from wattgrade.sources import messages, readers, writers
-from wattgrade.sources.schemas import ACCENTED_RECORD, CONSUMPTION_DOCUMENT, SNAKE_RECORD, envelope_schema
+from wattgrade.sources import messages, readers, records, writers
+from wattgrade.sources.schemas import CONSUMPTION_DOCUMENT, SNAKE_RECORD
 from wattgrade.streaming import ingest
 
 
@@ -27,17 +29,34 @@ from wattgrade.streaming import ingest
 
 
 def class_silver(raw: DataFrame) -> DataFrame:
-    """Raw records of either layout, renamed, projected, one per key, checked and stamped."""
-    renamed = shaping.rename_present(shaping.rename_present(raw, ACCENTED_NAMES), SNAKE_NAMES)
+    """Raw records of either layout, each renamed by what it holds, projected, one per key, checked and stamped."""
+    renamed = records.merge_layouts(raw, ACCENTED_NAMES, SNAKE_NAMES)
     projected = shaping.project_present(renamed, CLASS_COLUMNS)
     return shaping.stamp(quality.clean_for_classes(projected, CLASS_ROLES))
 
 
 def write_class_silver(
-    spark: SparkSession, bronze: str, silver: str, schema: T.StructType = ACCENTED_RECORD
-) -> None:
-    raw = readers.read_json_lines(spark, bronze, schema, nested=True)
+    spark: SparkSession, bronze: str, silver: str, rejected: str | None = None
+) -> Mapping[str, int]:
+    """Class silver of all records, in either layout, enveloped or not; returns the counts of the read.
+
+    The columns are text as in the static layouts, null where no record fills them, so the stored schema does not
+    depend on the batch.
+    """
+    found = records.read_records(spark, bronze)
+    raw = records.merge_layouts(records.to_columns(found), ACCENTED_NAMES, SNAKE_NAMES)
+    raw = raw.select(
+        *[(F.col(c) if shaping.present(raw, [c]) else F.lit(None)).cast("string").alias(c) for c in CLASS_COLUMNS]
+    )
     writers.replace_partitioned(class_silver(raw), silver, [CLASS_ROLES.grade])
+    return keep_rejected(found, rejected)
+
+
+def keep_rejected(found: records.Records, path: str | None) -> Mapping[str, int]:
+    """Lines that are no record, with their place, as a table of their own where a path is given."""
+    if path is not None:
+        writers.overwrite(found.rejected, path)
+    return found.counts
 
 
 def explore_silver(silver: DataFrame) -> tuple[DataFrame, DataFrame | None]:
@@ -95,17 +114,21 @@ def write_class_gold(
 # Consumption model --------------------------------------------------------------------------------------------------
 
 
-def write_dataset_silver(
-    spark: SparkSession, bronze: str, silver: str, schema: T.StructType = SNAKE_RECORD, enveloped: bool = False
-) -> None:
-    """Line records, unwrapped when enveloped, without blank rows, empty columns and repeated rows.
+def dataset_rows(found: records.Records) -> DataFrame:
+    """Records without blank and repeated rows, with every column that is filled anywhere: an empty one is not in the
+    merged schema, so no further pass looks for it."""
+    return quality.distinct_rows(quality.drop_blank_rows(records.to_columns(found)))
 
-    Distinct rows are staged as columns first, so the text is parsed once and the search for empty columns is cheap.
-    """
-    raw = readers.read_json_lines(spark, bronze, envelope_schema(schema) if enveloped else schema)
-    raw = shaping.unwrap_if_enveloped(raw, max_outer=3)
-    records = staged(quality.distinct_rows(quality.drop_blank_rows(raw)), "records")
-    writers.overwrite_balanced(shaping.drop_empty_columns(records), silver)
+
+def write_dataset_silver(
+    spark: SparkSession, bronze: str, silver: str, rejected: str | None = None
+) -> Mapping[str, int]:
+    """All columns of all records, enveloped or not; returns the counts of the read. Without a filled column there is
+    nothing to write, and what is stored stays."""
+    found = records.read_records(spark, bronze)
+    if found.schema.fields:
+        writers.overwrite_balanced(dataset_rows(found), silver)
+    return keep_rejected(found, rejected)
 
 
 def write_consumption_silver(
@@ -131,8 +154,8 @@ def write_model_gold(
     """Both models on the joined rows; writes the better one, its predictions and the metrics, which it returns."""
     carry = (MODEL_ROLES.zone, MODEL_ROLES.commune_name)
     means = commune_consumption(readers.read_dataset(spark, consumption))
-    records = readers.read_dataset(spark, diagnostics)
-    rows = staged(model_rows(records, MODEL_ROLES, means, flag_missing=flag_missing, carry=carry), "model-rows")
+    diagnosed = readers.read_dataset(spark, diagnostics)
+    rows = staged(model_rows(diagnosed, MODEL_ROLES, means, flag_missing=flag_missing, carry=carry), "model-rows")
     train, test = sampling.hashed_split(rows, *(shaping.present(rows, [MODEL_ROLES.key]) or rows.columns))
     target = MODEL_ROLES.intensity
     numerics = shaping.present(rows, [*MODEL_ROLES.numerics, COMMUNE_MEAN, f"{COMMUNE_MEAN}_is_missing"])
