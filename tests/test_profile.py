@@ -36,14 +36,15 @@ def test_exact_quantiles_match_brute_force_with_a_hot_value(spark, probabilities
 
 
 @pytest.mark.parametrize("probabilities", [(0.25, 0.5, 0.75), (0.0, 0.37, 0.38, 1.0)])
-def test_brackets_shrink_the_work_but_not_the_result(spark, probabilities):
+def test_brackets_shrink_the_work_but_not_the_result(spark, probabilities, monkeypatch):
     pdf, df = frame(spark, 30000)
     columns = ["hot", "u", "k"]
-    brackets = ranking.brackets_from_sample(df, columns, probabilities, 2000)
+    monkeypatch.setattr(ranking, "rank_error", lambda size=0: 0.01)
+    brackets = ranking.brackets_from_sketches(df, columns, probabilities)
     counts = ranking.value_counts(df, columns, brackets)
     assert counts.agg(F.sum("n")).first()[0] == pdf[columns].count().sum()
     assert counts.count() < ranking.value_counts(df, columns, {}).count() / 2
-    found = {r["column"]: r for r in ranking.exact_quantiles(df, columns, probabilities, sample_rows=2000).collect()}
+    found = {r["column"]: r for r in ranking.exact_quantiles(df, columns, probabilities).collect()}
     for c in columns:
         expected = pdf[c].astype(float).quantile(list(probabilities)).tolist()
         assert [found[c][f"q{i}"] for i in range(len(probabilities))] == pytest.approx(expected, rel=1e-12)
@@ -54,7 +55,7 @@ def test_a_missed_bracket_is_noticed_and_repaired(spark, monkeypatch):
     wrong = {"u": [(990.0, 991.0)]}
     counts = ranking.value_counts(df, ["u"], wrong)
     assert ranking.quantiles_of_counts(counts, (0.5,)).first()["missed"]
-    monkeypatch.setattr(ranking, "brackets_from_sample", lambda *_: wrong)
+    monkeypatch.setattr(ranking, "brackets_from_sketches", lambda *_: wrong)
     found = ranking.exact_quantiles(df, ["u"], (0.5,)).first()
     assert found["q0"] == pytest.approx(pdf["u"].median(), rel=1e-12)
 
@@ -107,6 +108,51 @@ def test_correlation_is_pairwise_complete(spark):
         assert r["corr"] == pytest.approx(expected.loc[r["a"], r["b"]], abs=1e-6)
 
 
+def test_profile_takes_two_passes_at_any_size(spark):
+    """Rows of the source are counted as they are read, with a small and with a larger table."""
+    for n in (50, 20000):
+        read = spark.sparkContext.accumulator(0)
+        _, df = frame(spark, n)
+
+        def counted(batches, read=read):
+            for batch in batches:
+                read.add(batch.num_rows)
+                yield batch
+
+        profile.profile(df.mapInArrow(counted, df.schema)).collect()
+        assert read.value == 2 * n
+
+
+def test_profile_of_empty_tables(spark):
+    df = spark.createDataFrame([], "a double, b string")
+    found = {r["column"]: r for r in profile.profile(df).collect()}
+    assert found["a"]["count"] == found["b"]["count"] == 0 and found["a"]["p50"] is None and found["b"]["top"] is None
+    one = profile.profile(spark.createDataFrame([(float("inf"),), (1.0,), (None,)], "a double")).first()
+    assert one["count"] == 2 and one["max"] == float("inf") and one["p25"] == float("inf")
+
+
+def test_co_moments_of_many_columns_with_large_means(spark):
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(3000, 3))
+    columns = [f"c {k}" for k in range(75)]
+    pdf = pd.DataFrame(base @ rng.normal(size=(3, 75)) + rng.normal(size=(3000, 75)), columns=columns)
+    pdf = (pdf + 1e9).astype(float)
+    for k in range(0, 75, 4):
+        pdf.iloc[k::7, k] = np.nan
+    pdf.iloc[:, 10] = np.nan
+    pdf.iloc[:, 11] = 5e9
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), ", ".join(f"`{c}` double" for c in columns))
+    found = {(r["a"], r["b"]): r["corr"] for r in profile.correlation_matrix(df.repartition(7), digits=6).collect()}
+    expected = (pdf - 1e9).corr()
+    assert len(found) == 75 * 75
+    for a in columns:
+        for b in columns:
+            if "c 10" in (a, b) or "c 11" in (a, b):
+                assert found[a, b] is None
+            else:
+                assert found[a, b] == pytest.approx(expected.loc[a, b], abs=2e-6)
+
+
 def test_density_matches_brute_force_and_integrates_to_one(spark):
     pdf, df = frame(spark, 3000)
     grid = [float(x) for x in range(-200, 401, 5)]  # more points than one pass takes

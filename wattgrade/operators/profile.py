@@ -4,15 +4,23 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattgrade.functions.scalars import half_up
-from wattgrade.operators.ranking import approx_quantiles, exact_quantiles, plain_number
+from wattgrade.operators.comoments import co_moments
+from wattgrade.operators.ranking import (
+    approx_quantiles,
+    bracket_edges,
+    brackets_of,
+    plain_number,
+    settled_quantiles,
+    value_counts,
+)
 from wattgrade.roles import GRADES, GradeScale
+from wattgrade.session import staged
 
 
 def _quoted(name: str) -> Column:
@@ -24,9 +32,13 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def _one_row_per_column(
-    df: DataFrame, figures: dict[str, dict[str, Column]], constants: dict[str, dict[str, Column]] | None = None
+    df: DataFrame,
+    figures: dict[str, dict[str, Column]],
+    constants: dict[str, dict[str, Column]] | None = None,
+    fill: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Aggregate all figures in one pass and turn the single row into one row per column."""
+    """Aggregate all figures in one pass and turn the single row into one row per column; a column without a figure
+    that others have gets what ``fill`` says."""
     aggregates, rows = [], []
     for i, (name, columns) in enumerate(figures.items()):
         cells = [F.lit(name).alias("column")]
@@ -34,6 +46,7 @@ def _one_row_per_column(
         for figure, expression in columns.items():
             aggregates.append(expression.alias(f"{figure}_{i}"))
             cells.append(F.col(f"{figure}_{i}").alias(figure))
+        cells += [value.alias(figure) for figure, value in (fill or {}).items() if figure not in columns]
         rows.append(F.struct(*cells))
     return df.agg(*aggregates).select(F.inline(F.array(*rows)))
 
@@ -54,73 +67,69 @@ def schema_report(df: DataFrame) -> DataFrame:
     return _one_row_per_column(df, figures, constants)
 
 
-def label_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, count, unique, top, freq) of text columns; the smallest label wins a tie for top."""
-    texts = df.select(*[_quoted(c).cast("string").alias(c) for c in columns])
-    long = texts.unpivot([], [_quoted(c) for c in columns], "column", "label").where("label is not null")
-    counts = long.groupBy("column", "label").agg(F.count("*").alias("n"))
+def label_figures(counts: DataFrame) -> DataFrame:
+    """(column, unique, top, freq) from counts per label; the smallest label wins a tie for top."""
     best = F.min(F.struct((-F.col("n")).alias("minus_n"), "label"))
     return counts.groupBy("column").agg(
-        F.sum("n").alias("count"),
-        F.count("*").alias("unique"),
-        best["label"].alias("top"),
-        (-best["minus_n"]).alias("freq"),
+        F.count("*").alias("unique"), best["label"].alias("top"), (-best["minus_n"]).alias("freq")
     )
 
 
-def number_profile(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
-    """(column, count, mean, std, min, p25, p50, p75, max) of numeric columns."""
-    figures = {
-        c: {
-            "count": F.count(plain_number(c)),
-            "mean": F.avg(plain_number(c)),
-            "std": F.stddev_samp(plain_number(c)),
-            "min": F.min(plain_number(c)),
-            "max": F.max(plain_number(c)),
-        }
-        for c in columns
-    }
-    quantiles = (exact_quantiles if exact else approx_quantiles)(df, columns, (0.25, 0.5, 0.75))
-    named = quantiles.withColumnsRenamed({"q0": "p25", "q1": "p50", "q2": "p75"})
-    return _one_row_per_column(df, figures).join(named, "column", "left")
+QUARTILES = (0.25, 0.5, 0.75)
+MOMENTS = ("mean", "std", "min", "max")
 
 
 def profile(df: DataFrame, exact: bool = True, digits: int = 4) -> DataFrame:
-    """One row per column: labels get unique, top and freq; numbers get moments and quartiles."""
+    """One row per column: labels get unique, top and freq; numbers get moments and quartiles.
+
+    Two passes at any size: the first takes counts, moments and sketches of all columns, the second counts labels and the
+    values near the quartiles. Without ``exact`` quartiles come from the first pass.
+    """
     numbers = numeric_columns(df)
     labels = [c for c in df.columns if c not in numbers]
-    parts = []
+    figures = {c: {"count": F.count(_quoted(c))} for c in labels}
+    for c in numbers:
+        value = plain_number(c)
+        means = [F.avg(value), F.stddev_samp(value), F.min(value), F.max(value)]
+        edges = bracket_edges(c, QUARTILES) if exact else F.lit(None).cast("array<double>")
+        figures[c] = {"count": F.count(value), **dict(zip(MOMENTS, means, strict=True)), "edges": edges}
+    empty = {f: F.lit(None).cast("double") for f in MOMENTS} | {"edges": F.lit(None).cast("array<double>")}
+    first = staged(_one_row_per_column(df, figures, fill=empty), "column-figures")
+
+    # One row for each numeric column.
+    edges = {r["column"]: r["edges"] for r in first.where("edges is not null").select("column", "edges").collect()}
+    brackets = brackets_of(edges)
+    ranked = list(brackets)
+    table = first.drop("edges")
+    if labels or ranked:
+        counts = staged(value_counts(df, ranked, brackets, labels), "column-counts")
     if labels:
-        counted = label_profile(df, labels)
-        # A column with no value at all still gets its row.
-        names = _one_row_per_column(df, {c: {"count": F.count(_quoted(c))} for c in labels})
-        parts.append(names.join(counted.drop("count"), "column", "left"))
-    if numbers:
-        parts.append(number_profile(df, numbers, exact))
-    table = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
-    missing = {"unique": "bigint", "top": "string", "freq": "bigint"} | {
-        f: "double" for f in ("mean", "std", "min", "p25", "p50", "p75", "max")
-    }
+        table = table.join(label_figures(counts.where("label is not null")), "column", "left")
+    if ranked:
+        quartiles = settled_quantiles(df, counts.where("label is null"), QUARTILES, brackets)
+    elif numbers:
+        quartiles = approx_quantiles(df, numbers, QUARTILES)
+    if numbers and (ranked or not exact):
+        table = table.join(quartiles.withColumnsRenamed({"q0": "p25", "q1": "p50", "q2": "p75"}), "column", "left")
+    missing = {"unique": "bigint", "top": "string", "freq": "bigint", "p25": "double", "p50": "double", "p75": "double"}
     table = table.withColumns({n: F.lit(None).cast(t) for n, t in missing.items() if n not in table.columns})
-    figures = [half_up(F.col(f), digits).alias(f) for f in ("mean", "std", "min", "p25", "p50", "p75", "max")]
-    return table.select("column", "count", "unique", "top", "freq", *figures)
+    rounded = [half_up(F.col(f), digits).alias(f) for f in ("mean", "std", "min", "p25", "p50", "p75", "max")]
+    return table.select("column", "count", "unique", "top", "freq", *rounded)
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
-    """(a, b, corr) for every ordered pair of numeric columns, over the rows where both are present."""
+    """(a, b, corr) for every ordered pair of numeric columns, over the rows where both are present.
+
+    NaN is missing, so it leaves its row out of its column's pairs only. One pass for any number of columns; null where a
+    pair has no row or a column of it does not vary over its rows.
+    """
     columns = list(columns or numeric_columns(df))
-    pairs = list(combinations(columns, 2))
-    value = {c: plain_number(c) for c in columns}  # NaN is missing, so it leaves its row out of the pair only
-    moments = [F.corr(value[a], value[b]).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]
-    moments += [F.corr(value[c], value[c]).alias(f"d{i}") for i, c in enumerate(columns)]
-
-    def cell(a: str, b: str, source: str) -> Column:
-        return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), half_up(F.col(source), digits).alias("corr"))
-
-    cells = [cell(c, c, f"d{i}") for i, c in enumerate(columns)]
-    for i, (a, b) in enumerate(pairs):
-        cells += [cell(a, b, f"r{i}"), cell(b, a, f"r{i}")]
-    return df.agg(*moments).select(F.inline(F.array(*cells)))
+    pairs = co_moments(df.select(*[plain_number(c).alias(c) for c in columns]), columns)
+    spread = F.sqrt("m2_a") * F.sqrt("m2_b")
+    corr = F.when(spread > 0, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("c") / spread)))
+    held = pairs.select("a", "b", half_up(corr, digits).alias("corr"))
+    mirrored = held.where("a != b").select(F.col("b").alias("a"), F.col("a").alias("b"), "corr")
+    return held.unionByName(mirrored)
 
 
 # The range on which densities are shown.

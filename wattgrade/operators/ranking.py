@@ -21,41 +21,62 @@ def plain_number(name: str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def brackets_from_sample(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], sample_rows: int
-) -> dict[str, list[Bracket]]:
-    """Value ranges that almost surely hold the quantiles, or nothing when sampling would not save work.
+# Items a sketch keeps in its top level.
+SKETCH_SIZE = 4096
 
-    Only a few numbers per column reach the driver. The ranges decide how much work is left, never the result.
+
+def rank_error(size: int = SKETCH_SIZE) -> float:
+    """The share of the rows by which a sketch's rank is off, at 99 % confidence."""
+    # Published constants of the sketch's error.
+    return 2.296 / size**0.9021
+
+
+def bracket_edges(column: str, probabilities: Sequence[float], size: int = SKETCH_SIZE) -> Column:
+    """Aggregate: values on both sides of each quantile, three times the rank error of a mergeable sketch away, or
+    infinities beyond the ends and where that is less than the two rows between which a quantile may lie; null for a
+    column without a value."""
+    value = plain_number(column)
+    n = F.count(value)
+    margin = 3 * rank_error(size)
+    sketch = F.kll_sketch_agg_double(value, size)
+    edges = []
+    for p in probabilities:
+        for rank, end in ((p - margin, -math.inf), (p + margin, math.inf)):
+            inner = F.kll_sketch_get_quantile_double(sketch, F.lit(min(max(rank, 0.0), 1.0)))
+            edges.append(F.when((n * margin > 2) & F.lit(0 < rank < 1), inner).otherwise(end))
+    return F.when(n > 0, F.array(*edges))
+
+
+def brackets_of(edges: Mapping[str, Sequence[float] | None]) -> dict[str, list[Bracket]]:
+    return {c: list(zip(found[::2], found[1::2], strict=True)) for c, found in edges.items() if found is not None}
+
+
+def brackets_from_sketches(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> dict[str, list[Bracket]]:
+    """Value ranges that almost surely hold the quantiles, from one pass; two numbers for each reach the driver.
+
+    They decide how much work is left, never the result.
     """
-    counts = df.agg(*[F.count(plain_number(c)) for c in columns]).first()
-    if max(counts) < 10 * sample_rows:
-        return {}
-    fraction = sample_rows / max(counts)
-    margin = 6 * math.sqrt(0.25 / sample_rows)  # six standard errors of a rank in the sample
-    edges = [min(max(q, 0.0), 1.0) for p in probabilities for q in (p - margin, p + margin)]
-    sampled = df.select(*[plain_number(c).alias(c) for c in columns]).sample(fraction, seed=42)
-    found = sampled.agg(*[F.percentile_approx(F.col(f"`{c}`"), edges) for c in columns]).first()
-    result: dict[str, list[Bracket]] = {}
-    for column, values in zip(columns, found):
-        if values is None:
-            continue
-        ranges = []
-        for i, p in enumerate(probabilities):
-            low = values[2 * i] if p - margin > 0 else -math.inf
-            high = values[2 * i + 1] if p + margin < 1 else math.inf
-            ranges.append((low, high))
-        result[column] = ranges
-    return result
-
-
-def value_counts(df: DataFrame, columns: Sequence[str], brackets: Mapping[str, list[Bracket]]) -> DataFrame:
-    """(column, value, top, n): counts per value inside a bracket and per gap between brackets.
-
-    A gap is one row from its smallest to its largest value. Both kinds are counted in the map tasks first, so a
+    row = df.agg(*[bracket_edges(c, probabilities).alias(f"e{i}") for i, c in enumerate(columns)]).first()
+    return brackets_of({c: row[i] for i, c in enumerate(columns)})
+
+
+def value_counts(
+    df: DataFrame, columns: Sequence[str], brackets: Mapping[str, list[Bracket]], labels: Sequence[str] = ()
+) -> DataFrame:
+    """(column, value, top, label, n): counts per value inside a bracket, per gap between brackets, and per label.
+
+    A gap is one row from its smallest to its largest value. All kinds are counted in the map tasks first, so a
     value that fills a third of a column is one row per task in the shuffle.
     """
-    cells = []
+    cells = [
+        F.struct(
+            F.lit(name).alias("column"),
+            F.lit(None).cast("double").alias("value"),
+            F.lit(None).cast("int").alias("gap"),
+            F.col(f"`{name}`").cast("string").alias("label"),
+        )
+        for name in labels
+    ]
     for name in columns:
         value = plain_number(name)
         gap = F.lit(None).cast("int")
@@ -65,12 +86,13 @@ def value_counts(df: DataFrame, columns: Sequence[str], brackets: Mapping[str, l
                 inside = inside | value.between(low, high)
                 passed = passed + (value > high).cast("int")
             gap = F.when(~inside, passed)
-        cells.append(F.struct(F.lit(name).alias("column"), value.alias("value"), gap.alias("gap")))
-    long = df.select(F.inline(F.array(*cells))).where("value is not null")
+        no_label = F.lit(None).cast("string").alias("label")
+        cells.append(F.struct(F.lit(name).alias("column"), value.alias("value"), gap.alias("gap"), no_label))
+    long = df.select(F.inline(F.array(*cells))).where("value is not null or label is not null")
     kept = F.when(F.col("gap").isNull(), F.col("value"))
-    grouped = long.groupBy("column", "gap", kept.alias("_kept"))
+    grouped = long.groupBy("column", "gap", kept.alias("_kept"), "label")
     counted = grouped.agg(F.min("value").alias("value"), F.max("value").alias("top"), F.count("*").alias("n"))
-    return counted.select("column", "value", "top", "n")
+    return counted.select("column", "value", "top", "label", "n")
 
 
 def quantiles_of_counts(counts: DataFrame, probabilities: Sequence[float]) -> DataFrame:
@@ -80,7 +102,7 @@ def quantiles_of_counts(counts: DataFrame, probabilities: Sequence[float]) -> Da
     its first rank; only slices that hold a wanted rank are ranked row by row, and no slice is larger than one
     shuffle partition.
     """
-    ranged = counts.repartitionByRange("column", "value").withColumn("slice", F.spark_partition_id())
+    ranged = counts.drop("label").repartitionByRange("column", "value").withColumn("slice", F.spark_partition_id())
     table = staged(ranged, "value-counts")
 
     totals = table.groupBy("column", "slice").agg(F.sum("n").alias("slice_rows"))
@@ -119,20 +141,30 @@ def quantiles_of_counts(counts: DataFrame, probabilities: Sequence[float]) -> Da
     return found.select("column", *[interpolated(i).alias(f"q{i}") for i in range(len(probabilities))], "missed")
 
 
-def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], sample_rows: int = 100_000
+def settled_quantiles(
+    df: DataFrame, counts: DataFrame, probabilities: Sequence[float], brackets: Mapping[str, list[Bracket]]
 ) -> DataFrame:
+    """Quantiles from value counts; a column whose bracket missed is ranked in full, from one more pass over ``df``."""
+    found = quantiles_of_counts(counts, probabilities)
+    if not brackets:
+        return found.drop("missed")
+    found = staged(found, "quantiles")
+    missed = [r["column"] for r in found.where("missed").select("column").collect()]  # names of columns
+    if missed:
+        again = quantiles_of_counts(value_counts(df, missed, {}), probabilities)
+        found = found.where(~F.col("column").isin(missed)).unionByName(again)
+    return found.drop("missed")
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """(column, q0, q1, …): exact quantiles with linear interpolation, for all columns together.
 
-    On large data a sample first narrows each quantile down to a bracket of values, and only the few percent of
-    rows inside the brackets are shuffled. Ranks are counted over all rows, so a bracket that missed its quantile
-    shows, and then every value is ranked.
+    One pass narrows each quantile down to a bracket by mergeable sketches, a second counts the values inside the
+    brackets, a small share of the rows whatever their number. Ranks are counted over all rows, so a bracket that
+    missed its quantile shows, and that column is ranked in full.
     """
-    brackets = brackets_from_sample(df, columns, probabilities, sample_rows)
-    found = quantiles_of_counts(value_counts(df, columns, brackets), probabilities)
-    if brackets and found.agg(F.max("missed")).first()[0]:
-        found = quantiles_of_counts(value_counts(df, columns, {}), probabilities)
-    return found.drop("missed")
+    brackets = brackets_from_sketches(df, columns, probabilities)
+    return settled_quantiles(df, value_counts(df, columns, brackets), probabilities, brackets)
 
 
 def approx_quantiles(

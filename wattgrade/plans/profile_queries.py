@@ -6,9 +6,10 @@ import math
 
 from pyspark.sql import functions as F
 
+from wattgrade.functions.scalars import safe_ratio
 from wattgrade.operators import gains, profile, scenarios, stats
 from wattgrade.plans.clean_queries import class_rows
-from wattgrade.plans.mapping import CLASSED, DIAG, MEANS, REFERENCE, ROLES, diagnostics
+from wattgrade.plans.mapping import CLASSED, DIAG, MEANS, REFERENCE, ROLES, diagnostics, table
 from wattgrade.plans.registry import query
 from wattgrade.plans.stats_queries import rounded
 
@@ -96,6 +97,45 @@ def corr_matrix(spark, sf_dir):
     return profile.correlation_matrix(diagnostics(spark, sf_dir, *_NUMBERS))
 
 
+# The 200 derived columns: multiples of intensity and surface on a mean that grows with their number, each but every
+# fourth missing on the rows of one line number.
+_WIDE = [(k, 1 + k % 7, (k * 3) % 11 - 5, 1 + k % 4) for k in range(200)]
+
+
+@query(
+    "corr_wide",
+    f"""with base as (
+          select l_linenumber as line, l_extendedprice / l_quantity / 10 as x, l_quantity as y from lineitem),
+        centred as (select line, x - (select avg(x) from base) as x, y - (select avg(y) from base) as y from base),
+        parts as (
+          select line, count(*) as n, sum(x) as sx, sum(y) as sy, sum(x * x) as xx, sum(y * y) as yy, sum(x * y) as xy
+          from centred group by line),
+        cols as (select * from (values {", ".join(f"('c{k}', {a}, {b}, {m})" for k, a, b, m in _WIDE)}) as t(c, a, b, m)),
+        gaps as (select distinct p.m as m1, q.m as m2 from cols p, cols q),
+        pooled as (
+          select m1, m2, sum(n) as n, sum(xx) - sum(sx) * sum(sx) / sum(n) as vx, sum(yy) - sum(sy) * sum(sy) / sum(n) as vy,
+                 sum(xy) - sum(sx) * sum(sy) / sum(n) as vxy
+          from gaps, parts where (m1 = 4 or line <> m1) and (m2 = 4 or line <> m2) group by m1, m2)
+        select p.c as a, q.c as b,
+               {rounded('''(p.a * q.a * vx + (p.a * q.b + p.b * q.a) * vxy + p.b * q.b * vy)
+                 / (sqrt(p.a * p.a * vx + 2 * p.a * p.b * vxy + p.b * p.b * vy)
+                    * sqrt(q.a * q.a * vx + 2 * q.a * q.b * vxy + q.b * q.b * vy))''', 6)} as corr
+        from cols p, cols q, pooled where p.m = m1 and q.m = m2""",
+)
+def corr_wide(spark, sf_dir):
+    """Correlations of 200 derived columns, pairwise complete, in one pass."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_linenumber",
+        (safe_ratio(F.col("l_extendedprice"), F.col("l_quantity")) / F.lit(10.0)).alias("x"),
+        F.col("l_quantity").alias("y"),
+    )
+    wide = [
+        F.when(F.lit(m == 4) | (F.col("l_linenumber") != m), F.col("x") * a + F.col("y") * b + 1000.0 * k).alias(f"c{k}")
+        for k, a, b, m in _WIDE
+    ]
+    return profile.correlation_matrix(lines.select(*wide))
+
+
 _HOLED = {"intensity": "case when surface >= 10 then intensity end", "total": "total", "surface": "surface"}
 
 
