@@ -1,9 +1,12 @@
 """Row rules, codes, labels and numbers on literal edge rows."""
 
 import math
+import random
+from fractions import Fraction
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import rows
@@ -56,14 +59,53 @@ def test_fills(spark):
     assert column(spark, S.fill_number, values, "string") == [0.0, 0.0, 0.0, 1.5]
 
 
-def test_half_up_ignores_float_noise_and_keeps_special_values(spark):
-    values = [2.675, 12.34125 - 1e-13, -0.125, math.inf, None]
+def test_half_up_rounds_once_and_keeps_special_values(spark):
+    values = [2.675, 12.3499999999, -0.125, math.inf, None, 12.34125 - 1e-13]
     found = column(spark, lambda v: S.half_up(v, 2), values, "double")
-    assert found == [2.68, 12.34, -0.13, math.inf, None]
-    assert column(spark, lambda v: S.half_up(v, 4), [12.34125 - 1e-13], "double") == [12.3413]
+    assert found == [2.68, 12.35, -0.13, math.inf, None, 12.34]
+    assert column(spark, lambda v: S.half_up(v, 1), [12.3499999999, 12.35], "double") == [12.3, 12.4]
+    assert column(spark, lambda v: S.half_up(v, 4), [12.34125, 12.34125 - 1e-13], "double") == [12.3413, 12.3412]
     assert math.isnan(column(spark, lambda v: S.half_up(v, 2), [math.nan], "double")[0])
 
 
+def once(total, n, digits):
+    """Half away from zero of an exact fraction."""
+    scaled = abs(Fraction(total)) * 10**digits / n
+    whole = (2 * scaled.numerator + scaled.denominator) // (2 * scaled.denominator)
+    return math.copysign(whole / 10**digits, total) if whole else 0.0
+
+
+@pytest.mark.parametrize("digits", [0, 1, 4])
+def test_means_and_sums_are_exact_before_they_are_rounded(spark, digits):
+    draw = random.Random(digits)
+    groups = {
+        "tie": [12.1, 12.2, 12.3, 12.2, -0.05],
+        "mixed": [1.0, -0.2, 0.7, -1.5],
+        "negative": [-0.1, -0.15, -3.35],
+        "cancel": [1e15, 0.25, -1e15, 0.1],
+        "zero": [0.1, -0.1],
+        "wide": [draw.choice([-1, 1]) * round(draw.random() * 10 ** draw.randint(0, 9), draw.randint(0, 6)) for _ in range(500)],
+        "near": [12.3499999999] * 3 + [None],
+        "tiny": [1e-17, 4e-18, 0.05],
+    }
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs], "g string, v double").repartition(6)
+    found = df.groupBy("g").agg(S.rounded_mean(F.col("v"), digits).alias("m"), S.rounded_sum(F.col("v"), digits).alias("s"))
+    for r in found.collect():
+        kept = [Fraction(repr(v)) for v in groups[r["g"]] if v is not None]
+        assert r["m"] == once(sum(kept), len(kept), digits) and r["s"] == once(sum(kept), 1, digits), r
+
+
+def test_means_of_special_values(spark):
+    rows_in = [("none", None), ("inf", math.inf), ("inf", 1.0), ("nan", math.nan), ("nan", 2.0), ("huge", 1e25), ("huge", 3e25)]
+    df = spark.createDataFrame(rows_in, "g string, v double")
+    found = df.groupBy("g").agg(S.rounded_mean(F.col("v"), 1).alias("m"), S.rounded_sum(F.col("v"), 1).alias("s"))
+    got = {r["g"]: (r["m"], r["s"]) for r in found.collect()}
+    assert got["none"] == (None, None) and got["inf"] == (math.inf, math.inf) and math.isnan(got["nan"][0])
+    assert got["huge"] == (2e25, 4e25)
+    empty = df.limit(0).agg(S.rounded_mean(F.col("v"), 1).alias("m"), S.rounded_sum(F.col("v"), 1).alias("s")).first()
+    assert tuple(empty) == (None, None)
+
+
 def test_ratio_base_name_and_step(spark):
     df = spark.createDataFrame([(1.0, 0.0, "a/b/c.csv")], "a double, b double, p string")
     found = df.select(

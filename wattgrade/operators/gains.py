@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattgrade.functions.scalars import half_up, safe_ratio, step_label
+from wattgrade.functions.scalars import half_up, rounded_mean, safe_ratio, step_label
 from wattgrade.roles import GRADES, GradeScale, Roles
 
 MEAN_TYPE = T.DecimalType(18, 1)
@@ -22,7 +22,7 @@ def class_means(df: DataFrame, roles: Roles, scale: GradeScale = GRADES) -> Data
     return (
         df.where(scale.contains(grade))
         .groupBy(grade.alias("grade"))
-        .agg(half_up(F.avg(roles.intensity), 1).cast(MEAN_TYPE).alias("conso"))
+        .agg(rounded_mean(F.col(roles.intensity), 1).cast(MEAN_TYPE).alias("conso"))
         .select("grade", scale.ordinal(F.col("grade")).alias("ord"), "conso")
     )
 
@@ -56,14 +56,15 @@ def gain_matrix(means: DataFrame) -> DataFrame:
 def gain_ladder(means: DataFrame) -> DataFrame:
     """One step to the next better grade: source mean minus target mean; positive is a saving."""
     steps = better_pairs(means).where(F.col("ord_origine") == F.col("ord_cible") + 1)
-    gain = (F.col("conso_origine") - F.col("conso_cible")).cast("double")
-    source = F.col("conso_origine").cast("double")
+    gain = F.col("conso_origine") - F.col("conso_cible")
+    # Decimals small enough that the quotient keeps twelve digits, more than any tie of one-digit means needs.
+    share = safe_ratio(gain.try_cast(T.DecimalType(12, 1)) * 100, F.col("conso_origine").try_cast(T.DecimalType(10, 1)))
     return steps.select(
         step_label(F.col("classe_origine"), F.col("classe_cible")).alias("saut"),
         "classe_origine",
         "classe_cible",
-        gain.alias("gain_kWh_m2"),
-        half_up(safe_ratio(gain, source) * 100, 1).alias("gain_pct"),
+        gain.cast("double").alias("gain_kWh_m2"),
+        half_up(share, 1).alias("gain_pct"),
     )
 
 

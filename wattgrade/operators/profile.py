@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattgrade.functions.scalars import half_up
+from wattgrade.functions.scalars import half_up, rounded_mean
 from wattgrade.operators.comoments import co_moments
 from wattgrade.operators.ranking import (
     approx_quantiles,
@@ -90,7 +90,7 @@ def profile(df: DataFrame, exact: bool = True, digits: int = 4) -> DataFrame:
     figures = {c: {"count": F.count(_quoted(c))} for c in labels}
     for c in numbers:
         value = plain_number(c)
-        means = [F.avg(value), F.stddev_samp(value), F.min(value), F.max(value)]
+        means = [rounded_mean(value, digits), F.stddev_samp(value), F.min(value), F.max(value)]
         edges = bracket_edges(c, QUARTILES) if exact else F.lit(None).cast("array<double>")
         figures[c] = {"count": F.count(value), **dict(zip(MOMENTS, means, strict=True)), "edges": edges}
     empty = {f: F.lit(None).cast("double") for f in MOMENTS} | {"edges": F.lit(None).cast("array<double>")}

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattgrade.functions.scalars import half_up, number, pad_code, squared_error
+from wattgrade.functions.scalars import half_up, number, pad_code, rounded_mean, squared_error
+from wattgrade.operators.gains import MEAN_TYPE
 from wattgrade.roles import GRADES, GradeScale, Roles
 
 
@@ -17,9 +18,9 @@ def class_stats(df: DataFrame, roles: Roles) -> DataFrame:
         df.groupBy(roles.grade, roles.ordinal)
         .agg(
             F.count("*").alias("nb_logements"),
-            half_up(F.avg(roles.intensity), 1).alias("conso_moy_m2"),
-            half_up(F.avg(roles.total), 0).alias("conso_moy_totale"),
-            half_up(F.avg(roles.surface), 1).alias("surface_moy"),
+            rounded_mean(F.col(roles.intensity), 1).alias("conso_moy_m2"),
+            rounded_mean(F.col(roles.total), 0).alias("conso_moy_totale"),
+            rounded_mean(F.col(roles.surface), 1).alias("surface_moy"),
             half_up(F.stddev_samp(roles.intensity), 1).alias("conso_std"),
         )
         .orderBy(roles.ordinal)
@@ -29,7 +30,7 @@ def class_stats(df: DataFrame, roles: Roles) -> DataFrame:
 def grade_distribution(df: DataFrame, roles: Roles) -> DataFrame:
     return (
         df.groupBy(roles.grade)
-        .agg(F.count("*").alias("nb"), half_up(F.avg(roles.intensity), 1).alias("conso_moy_kWh_m2"))
+        .agg(F.count("*").alias("nb"), rounded_mean(F.col(roles.intensity), 1).alias("conso_moy_kWh_m2"))
         .orderBy(roles.grade)
     )
 
@@ -45,7 +46,7 @@ def mean_by(
 ) -> DataFrame:
     """Mean per group, ordered by it, names breaking ties."""
     rows = df if keep_null_group else df.where(F.col(by).isNotNull())
-    means = rows.groupBy(by).agg(half_up(F.avg(value), digits).alias(name))
+    means = rows.groupBy(by).agg(rounded_mean(F.col(value), digits).alias(name))
     return means.orderBy(F.desc(name) if descending else F.asc(name), by)
 
 
@@ -84,7 +85,7 @@ def r_squared(actual: Column, predicted: Column) -> Column:
 def prediction_kpis(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     return df.agg(
         F.count("*").alias("nb_logements"),
-        half_up(F.avg(actual), 4).alias("conso_moyenne"),
+        rounded_mean(F.col(actual), 4).alias("conso_moyenne"),
         half_up(rmse(F.col(actual), F.col(predicted)), 4).alias("rmse"),
     )
 
@@ -100,7 +101,7 @@ def class_kpis(stats: DataFrame, roles: Roles, scale: GradeScale = GRADES) -> Da
         F.coalesce(F.sum("nb_logements"), F.lit(0)).alias("total_logements"),
         worst.alias("conso_moy_pire"),
         best.alias("conso_moy_meilleure"),
-        F.when(best != 0, half_up(worst - best, 0)).otherwise(F.lit(0.0)).alias("gain_total"),
+        F.when(best != 0, half_up(worst.cast(MEAN_TYPE) - best.cast(MEAN_TYPE), 0)).otherwise(F.lit(0.0)).alias("gain_total"),
     )
 
 

@@ -340,6 +340,33 @@ def half_up(spark, sf_dir):
     )
 
 
+# Parts of 10**10 that add to a whole number: a mean lies on a tie, just below or just above it, or well beside it.
+_NEAR_TIE = "(l_orderkey % 1000) * 10000000000 + cast(l_linenumber % 5 as bigint) * 1000000000 + 500000000"
+_BESIDE = "(l_suppkey % 3 - 1) * (l_partkey % 2)"
+
+
+@query(
+    "half_up_near_ties",
+    f"""with parts as (select l_suppkey as supplier, cast({_NEAR_TIE} + {_BESIDE} as hugeint) as part from lineitem),
+        sums as (select supplier, sum(part) as total, count(*) as n from parts group by supplier)
+        select supplier, n,
+               cast((2 * total * 10 + n * 10000000000) // (2 * n * 10000000000) as double) / 10 as mean_1,
+               cast((2 * total * 1000 + n * 10000000000) // (2 * n * 10000000000) as double) / 1000 as mean_3,
+               -cast((2 * total * 10 + 10000000000) // (2 * 10000000000) as double) / 10 as sum_1
+        from sums""",
+)
+def half_up_near_ties(spark, sf_dir):
+    """Means and sums next to a tie, rounded once; the SQL does the same in whole numbers."""
+    value = F.expr(f"cast({_NEAR_TIE} + {_BESIDE} as double)") / F.lit(1e10)
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("supplier"), value.alias("v"))
+    return lines.groupBy("supplier").agg(
+        F.count("*").alias("n"),
+        S.rounded_mean(F.col("v"), 1).alias("mean_1"),
+        S.rounded_mean(F.col("v"), 3).alias("mean_3"),
+        S.rounded_sum(-F.col("v"), 1).alias("sum_1"),
+    )
+
+
 @query(
     "stateless_clean",
     f"""with {DIAG} select diag_id, received_at, intensity, total, surface, grade, insulation, energy,

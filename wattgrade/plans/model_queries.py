@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattgrade.functions.scalars import half_up
+from wattgrade.functions.scalars import rounded_mean
 from wattgrade.operators import models, sampling, scenarios, stats
 from wattgrade.operators.features import COMMUNE_MEAN, check_labels, indexer, label_index, model_rows
 from wattgrade.operators.quality import drop_incomplete_rows
@@ -173,7 +173,7 @@ def stand_in(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     rows = model_rows(records, ROLES, carry=("commune_name",))
     train, test = sampling.hashed_split(rows, ROLES.key)
     graded = train.where(GRADES.contains(F.col("grade")))
-    means = graded.groupBy("grade").agg(half_up(F.avg(TARGET), 4).alias("prediction"))
+    means = graded.groupBy("grade").agg(rounded_mean(F.col(TARGET), 4).alias("prediction"))
     constant = F.col("conso").cast("double").alias("prediction_ref")
     published = scenarios.reference_classes(spark).select("grade", constant)
     return test.join(F.broadcast(means), "grade").join(F.broadcast(published), "grade")

@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from wattgrade.functions.scalars import safe_ratio
+from wattgrade.functions.scalars import rounded_mean, rounded_sum, safe_ratio
 from wattgrade.operators import gains, profile, scenarios, stats
 from wattgrade.plans.clean_queries import class_rows
 from wattgrade.plans.mapping import CLASSED, DIAG, MEANS, REFERENCE, ROLES, diagnostics, table
@@ -251,6 +251,6 @@ def scenario_summary(spark, sf_dir):
     rows = reference_scenarios(spark, sf_dir)
     return rows.groupBy("grade", "classe_cible").agg(
         F.count("*").alias("nb"),
-        stats.half_up(F.sum("econ_kwh"), 2).alias("econ_kwh"),
-        stats.half_up(F.avg("econ_eur"), 2).alias("econ_eur_moy"),
+        rounded_sum(F.col("econ_kwh"), 2).alias("econ_kwh"),
+        rounded_mean(F.col("econ_eur"), 2).alias("econ_eur_moy"),
     )
