@@ -1,5 +1,10 @@
 """Features, regressions, metrics and the choice between models."""
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -7,7 +12,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
 from tests.helpers import rows
-from wattgrade.operators import features, models, sampling
+from wattgrade.operators import features, labels, models, sampling
 from wattgrade.roles import Roles
 
 ROLES = Roles(
@@ -122,20 +127,64 @@ def test_choice(spark, forest, boosted, expected):
     assert found["best_model"] == expected and found["rmse"] == min(forest, boosted)
 
 
-def test_many_labels_train_and_too_many_are_refused(spark):
+def test_many_labels_train_as_numbers(spark):
     df = spark.range(400).select(
-        (F.col("id") % 40).cast("string").alias("label"), F.col("id").cast("string").alias("unique"),
+        (F.col("id") % 40).cast("string").alias("label"),
+        F.col("id").cast("string").alias("unique"),
         (F.col("id") % 40).cast("double").alias("x"),
     )
-    both = models.train(df, "x", ["label"], [], size=models.TreeSize(trees=2, depth=2))
-    assert both.models[models.FOREST].getOrDefault("maxBins") == 41
-    with pytest.raises(ValueError, match="too many labels"):
-        features.check_labels(df, ["label", "unique"], limit=100)
+    small = models.TreeSize(trees=2, depth=2, partitions=3)
+    both = models.train(df, "x", ["label"], [], size=small)
+    assert both.models[models.FOREST].getOrDefault("maxBins") == 41 and not both.ranked
+    both = models.train(df, "x", ["label", "unique"], [], size=small, max_categories=100)
+    assert both.ranked == ["unique"] and both.models[models.FOREST].getOrDefault("maxBins") == 41
+    unseen = df.limit(1).withColumn("unique", F.lit("none"))
+    assert both.ready(unseen).first()["unique_rank"] == 400.0
+    assert models.score(both.whole(models.BOOSTED), both.ready(df)).where("prediction is not null").count() == 400
+    assert {r[1] for r in models.feature_importance(both, models.FOREST, both.prepared(df))} == {"label", "unique_rank"}
 
 
 def test_label_order_and_unseen_labels(spark):
-    df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",), (None,)], "g string")
+    df = spark.createDataFrame([("b", 1), ("a", 1), ("c", 2), ("c", None), (None, 2)], "g string, `h i` int")
+    table = labels.label_table(df, ["g", "h i"])
+    assert rows(table) == [("g", "a", 1, 1), ("g", "b", 1, 2), ("g", "c", 2, 0), ("h i", "1", 2, 0), ("h i", "2", 2, 1)]
     model = features.indexer(["g"]).fit(df)
-    assert features.label_index(model) == [("g", "c", 0), ("g", "a", 1), ("g", "b", 2)]
-    unseen = spark.createDataFrame([("z",), (None,)], "g string")
-    assert [r["g_idx"] for r in model.transform(unseen).collect()] == [3.0, 3.0]
+    assert list(model.labelsArray[0]) == ["c", "a", "b"]
+    unseen = spark.createDataFrame([("z",), (None,), ("b",)], "g string")
+    assert [r["g_idx"] for r in model.transform(unseen).collect()] == [3.0, 3.0, 2.0]
+    ranked = labels.with_label_ranks(unseen, table, ["g"])
+    assert sorted(r["g_rank"] for r in ranked.collect()) == [2.0, 3.0, 3.0]
+    assert labels.label_table(df.limit(0), ["g"]).count() == 0
+
+
+def test_labels_are_numbered_across_tasks(spark):
+    df = spark.range(20000).select(F.concat(F.lit("l"), (F.col("id") % 7000).cast("string")).alias("g"))
+    found = {r["label"]: r["idx"] for r in labels.label_table(df.repartition(9), ["g"]).collect()}
+    counts = df.toPandas()["g"].value_counts()
+    assert found == {g: i for i, g in enumerate(sorted(counts.index, key=lambda g: (-counts[g], g)))}
+
+
+FIT = """
+import sys, tempfile
+from wattgrade.session import build_session
+from wattgrade.operators import models
+from pyspark.sql import functions as F
+spark = build_session("fit", **{"spark.master": sys.argv[1], "spark.sql.shuffle.partitions": sys.argv[2],
+    "spark.ui.enabled": "false", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-")})
+noise = F.pmod(F.xxhash64("id"), F.lit(1000)) / 50
+rows = spark.range(3000).select("id", (F.col("id") % 9).cast("string").alias("g"), (F.col("id") % 50 * 1.5).alias("s"))
+rows = rows.withColumn("x", F.col("s") * 2 + F.col("g").cast("double") * 10 + noise).repartition(int(sys.argv[2]))
+size = models.TreeSize(trees=4, depth=4, partitions=5)
+both = models.train(rows, "x", ["g"], ["s"], size=size, keys=["id"], max_rows=2000)
+print("TREES", hash("".join(both.models[k].toDebugString.split(chr(10), 1)[1] for k in sorted(both.models))))
+"""
+
+
+def test_the_same_trees_on_any_number_of_cores():
+    root = str(Path(__file__).resolve().parents[1])
+    env = os.environ | {"PYTHONPATH": root, "PYTHONHASHSEED": "0"}
+    found = set()
+    for master, parts in (("local[2]", "3"), ("local[4]", "8"), ("local[8]", "11")):
+        out = subprocess.run([sys.executable, "-c", FIT, master, parts], env=env, capture_output=True, text=True, timeout=300)
+        found.add(next(line for line in out.stdout.splitlines() if line.startswith("TREES")))
+    assert len(found) == 1

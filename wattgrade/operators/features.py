@@ -16,7 +16,8 @@ from wattgrade.operators.shaping import present
 from wattgrade.roles import Roles
 
 COMMUNE_MEAN = "conso_moyenne_commune_mwh"
-MAX_LABELS = 10_000
+# Labels up to which a column is a category of its own bins; beyond it its frequency rank is a number.
+MAX_CATEGORIES = 1000
 
 
 def model_rows(
@@ -53,16 +54,6 @@ def model_rows(
     return df.withColumns(changes)
 
 
-def check_labels(df: DataFrame, categoricals: Sequence[str], limit: int = MAX_LABELS) -> None:
-    """Refuse columns whose labels would not fit on the driver; sketches, one pass, one row."""
-    if not categoricals:
-        return
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in categoricals]).first()
-    large = {c: sizes[c] for c in categoricals if sizes[c] > limit}
-    if large:
-        raise ValueError(f"too many labels for an indexed feature (about {large}); group them or drop the column")
-
-
 def indexer(categoricals: Sequence[str]) -> StringIndexer:
     """All columns in one pass, labels by falling frequency and then by name; unseen labels get their own index."""
     return StringIndexer(
@@ -77,7 +68,6 @@ def fit_preparation(
     train: DataFrame, categoricals: Sequence[str], numerics: Sequence[str], one_hot: bool = False
 ) -> PipelineModel:
     """Index, optionally one-hot encode, and assemble, fitted once for every model that follows."""
-    check_labels(train, categoricals)
     stages = []
     encoded: list[str] = []
     if categoricals:
@@ -95,12 +85,3 @@ def bins_needed(preparation: PipelineModel, one_hot: bool = False, floor: int =
     """Trees need a bin for every label and one for unseen ones."""
     sizes = [len(l) for s in preparation.stages if isinstance(s, StringIndexerModel) for l in s.labelsArray]
     return floor if one_hot else max([floor] + [n + 1 for n in sizes])
-
-
-def label_index(fitted: StringIndexerModel) -> list[tuple[str, str, int]]:
-    """(column, label, index) of a fitted indexer."""
-    return [
-        (column, label, i)
-        for column, labels in zip(fitted.getInputCols(), fitted.labelsArray)
-        for i, label in enumerate(labels)
-    ]

@@ -12,36 +12,54 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattgrade.functions.scalars import half_up, squared_error
-from wattgrade.operators.features import bins_needed, fit_preparation
+from wattgrade.operators.features import MAX_CATEGORIES, bins_needed, fit_preparation
+from wattgrade.operators.labels import label_sizes, label_table, with_label_ranks
+from wattgrade.operators.sampling import hashed_share
 from wattgrade.operators.stats import r_squared, rmse
-from wattgrade.session import shared_root
+from wattgrade.session import shared_root, staged
 
 FOREST, BOOSTED = "RandomForest", "GBT"
 
 
 @dataclass(frozen=True)
 class TreeSize:
-    """Reference sizes by default; smaller ones are for tests."""
+    """Sizes of the fit. Trees follow the number of partitions, which is stated and not taken from the cluster."""
+
+    # Trees, depth and seed of the published models.
 
     trees: int = 50
     depth: int = 8
     seed: int = 42
+    partitions: int = 16
 
 
 @dataclass(frozen=True)
 class FittedModels:
+    """``ranks`` is the label table of the columns in ``ranked``, whose frequency ranks are features; rows to be scored
+    get them first."""
+
     preparation: PipelineModel
     models: Mapping[str, Model]
+    ranks: DataFrame | None = None
+    ranked: Sequence[str] = ()
+
+    def ready(self, rows: DataFrame) -> DataFrame:
+        return with_label_ranks(rows, self.ranks, self.ranked) if self.ranked else rows
+
+    def prepared(self, rows: DataFrame) -> DataFrame:
+        return self.preparation.transform(self.ready(rows))
 
     def whole(self, name: str) -> PipelineModel:
         """Preparation and regression as one saveable model."""
         return PipelineModel(stages=[*self.preparation.stages, self.models[name]])
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """At least one partition per core, for data that are read many times; already finer data stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < 2 * cores else df
+def laid_out(df: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame:
+    """A stated number of partitions by the hash of the keys, sorted inside: the same rows in the same places on every
+    cluster, so what samples by partition draws the same rows. Spark does not merge stated partitions."""
+    names = [f"`{k}`" for k in keys]
+    hashed = F.xxhash64(*names)
+    return df.repartition(partitions, hashed).sortWithinPartitions(hashed, *names)
 
 
 def train(
@@ -52,16 +70,33 @@ def train(
     kinds: Sequence[str] = (FOREST, BOOSTED),
     size: TreeSize = TreeSize(),
     one_hot: bool = False,
+    keys: Sequence[str] = (),
+    max_rows: int | None = None,
+    max_categories: int = MAX_CATEGORIES,
 ) -> FittedModels:
     """Fit the preparation once, keep its output, and fit every requested model on it.
 
-    ``rows`` should come from a stored table (``session.staged``): fitting reads them several times. Boosting cuts
-    its lineage in the checkpoint folder every ten trees.
+    ``rows`` should come from a stored table (``session.staged``): fitting reads them several times. They are laid out
+    by ``keys`` (default: all columns) in ``size.partitions`` partitions, so the fit does not depend on the cluster.
+    ``max_rows`` is about how many rows are learned from, drawn by the hash of the keys. A column with more than
+    ``max_categories`` labels is no category; the frequency rank of its label is a number. Boosting cuts its lineage in
+    the checkpoint folder every ten trees.
     """
     shared_root(rows.sparkSession)
+    keys = list(keys) or rows.columns
+    if max_rows is not None:
+        rows = staged(hashed_share(rows, keys, max_rows), "bounded-rows")
+    ranks = staged(label_table(rows, categoricals), "labels") if categoricals else None
+    sizes = label_sizes(ranks, categoricals) if categoricals else {}
+    ranked = [c for c in categoricals if sizes[c] > max_categories]
+    categoricals = [c for c in categoricals if c not in ranked]
+    numerics = [*numerics, *[f"{c}_rank" for c in ranked]]
+    if ranked:
+        rows = staged(with_label_ranks(rows, ranks, ranked), "ranked-rows")
+    rows = laid_out(rows, keys, size.partitions)
     preparation = fit_preparation(rows, categoricals, numerics, one_hot)
     bins = bins_needed(preparation, one_hot)
-    prepared = spread(preparation.transform(rows).select(target, "features")).persist(StorageLevel.MEMORY_AND_DISK)
+    prepared = preparation.transform(rows).select(target, "features").persist(StorageLevel.MEMORY_AND_DISK)
     common = dict(
         featuresCol="features",
         labelCol=target,
@@ -78,7 +113,7 @@ def train(
         models = {kind: makers[kind]().fit(prepared) for kind in kinds}
     finally:
         prepared.unpersist()
-    return FittedModels(preparation, models)
+    return FittedModels(preparation, models, ranks, ranked)
 
 
 def score(model: Transformer, rows: DataFrame) -> DataFrame:

@@ -19,6 +19,15 @@ def hashed_sample(df: DataFrame, key: str, n: int = 800) -> DataFrame:
     return df.orderBy(F.md5(F.col(key).cast("string")), key, *others).limit(n)
 
 
+def hashed_share(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """About ``rows`` rows, or all if there are no more, by the hash of the keys: no sort, the same rows on every run."""
+    total = df.count()
+    if total <= rows:
+        return df
+    span = 1 << 31
+    return df.where(F.pmod(F.xxhash64(*[f"`{k}`" for k in keys]), F.lit(span)) < int(span * rows / total))
+
+
 def split_bucket(*key: str) -> Column:
     """0..9 from the first four hex digits of the key's hash."""
     text = F.concat_ws("|", *[F.col(k).cast("string") for k in key])

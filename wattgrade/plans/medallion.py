@@ -99,9 +99,17 @@ def write_class_gold(
     categoricals = shaping.present(learned, CLASS_ROLES.categoricals)
     numerics = shaping.present(learned, CLASS_ROLES.numerics)
     fitted = models.train(
-        train, CLASS_ROLES.intensity, categoricals, numerics, kinds=[models.FOREST], size=size, one_hot=True
+        train,
+        CLASS_ROLES.intensity,
+        categoricals,
+        numerics,
+        kinds=[models.FOREST],
+        size=size,
+        one_hot=True,
+        keys=[CLASS_ROLES.key],
     )
     forest = fitted.whole(models.FOREST)
+    test = fitted.ready(test)
     columns = [CLASS_ROLES.surface, CLASS_ROLES.ordinal, CLASS_ROLES.intensity]
     path = f"{gold}/predictions_classes"
     writers.overwrite(models.prediction_table(models.score(forest, test), columns), path)
@@ -159,9 +167,10 @@ def write_model_gold(
     train, test = sampling.hashed_split(rows, *(shaping.present(rows, [MODEL_ROLES.key]) or rows.columns))
     target = MODEL_ROLES.intensity
     numerics = shaping.present(rows, [*MODEL_ROLES.numerics, COMMUNE_MEAN, f"{COMMUNE_MEAN}_is_missing"])
-    fitted = models.train(train, target, shaping.present(rows, MODEL_ROLES.categoricals), numerics, size=size)
+    keys = shaping.present(rows, [MODEL_ROLES.key])
+    fitted = models.train(train, target, shaping.present(rows, MODEL_ROLES.categoricals), numerics, size=size, keys=keys)
 
-    scored = fitted.preparation.transform(models.spread(test))
+    scored = fitted.prepared(test)
     names = {models.FOREST: "_forest", models.BOOSTED: "_boosted"}
     for name, column in names.items():
         scored = fitted.models[name].copy({fitted.models[name].predictionCol: column}).transform(scored)

@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wattgrade.functions.scalars import rounded_mean
+from wattgrade.functions.scalars import half_up, rounded_mean
 from wattgrade.operators import models, sampling, scenarios, stats
-from wattgrade.operators.features import COMMUNE_MEAN, check_labels, indexer, label_index, model_rows
+from wattgrade.operators.features import COMMUNE_MEAN, fit_preparation, model_rows
+from wattgrade.operators.labels import label_table, with_label_ranks
 from wattgrade.operators.quality import drop_incomplete_rows
 from wattgrade.plans.clean_queries import class_rows
-from wattgrade.plans.mapping import MODEL, ROLES, STAND_IN, consumption, diagnostics
+from wattgrade.plans.mapping import CLASSED, IS_TRAIN, MODEL, ROLES, STAND_IN, consumption, diagnostics, table
 from wattgrade.plans.registry import query
 from wattgrade.plans.stats_queries import rounded
 from wattgrade.roles import GRADES
 from wattgrade.session import staged, work_path
+from wattgrade.sources import readers
 
 TARGET = ROLES.intensity
 NUMERICS = (*ROLES.numerics, COMMUNE_MEAN)
@@ -27,16 +30,50 @@ def prepared_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model_rows(diagnostics(spark, sf_dir), ROLES, means, carry=("commune_name",))
 
 
-_fitted: dict[tuple[str, str], tuple[models.FittedModels, DataFrame]] = {}
+_TABLES = ("lineitem", "orders", "customer", "nation", "region", "part", "events")
+_fits: dict[tuple, tuple[models.FittedModels, DataFrame]] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, fit) -> tuple[models.FittedModels, DataFrame]:
+    """The fit on these very files: other names, lengths or times of the tables' files make another fit."""
+    parts = []
+    for t in _TABLES:  # one row a table
+        files = readers.list_files(spark, f"{sf_dir}/{t}.parquet")
+        seen = files.agg(F.count("*"), F.sum("length"), F.max("modificationTime"), F.sum(F.xxhash64("path") % 1_000_003))
+        parts.append(tuple(seen.first()))
+    key = (spark.sparkContext.applicationId, name, sf_dir, *parts)
+    if key not in _fits:
+        for old in [k for k in _fits if k[:3] == key[:3]]:
+            del _fits[old]
+        _fits[key] = fit()
+    return _fits[key]
 
 
 def fitted(spark: SparkSession, sf_dir: str) -> tuple[models.FittedModels, DataFrame]:
-    """Both models at full size and the test rows, fitted once per session and folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _fitted:
+    """Both models at full size and the test rows."""
+
+    def fit():
         train, test = sampling.hashed_split(staged(prepared_rows(spark, sf_dir), "model-rows"), ROLES.key)
-        _fitted[key] = (models.train(train, TARGET, ROLES.categoricals, NUMERICS), models.spread(test))
-    return _fitted[key]
+        return models.train(train, TARGET, ROLES.categoricals, NUMERICS, keys=[ROLES.key]), test
+
+    return _once(spark, sf_dir, "both", fit)
+
+
+_CLASS_NUMERICS, _CLASS_LABELS = (ROLES.surface, ROLES.ordinal), ("building", "zone", "energy")
+
+
+def fitted_classes(spark: SparkSession, sf_dir: str) -> tuple[models.FittedModels, DataFrame]:
+    """The class-analysis forest on one-hot labels, surface and the grade's ordinal, and its test rows."""
+
+    def fit():
+        wanted = [*_CLASS_NUMERICS, *_CLASS_LABELS, TARGET]
+        rows = class_rows(spark, sf_dir, *_CLASS_LABELS).select(ROLES.key, *wanted)
+        complete = staged(drop_incomplete_rows(rows, wanted), "class-model-rows")
+        train, test = sampling.hashed_split(complete, ROLES.key)
+        kinds = [models.FOREST]
+        return models.train(train, TARGET, _CLASS_LABELS, _CLASS_NUMERICS, kinds, one_hot=True, keys=[ROLES.key]), test
+
+    return _once(spark, sf_dir, "classes", fit)
 
 
 def _predictions(spark, sf_dir, kind):
@@ -56,19 +93,34 @@ def gbt_predictions(spark, sf_dir):
 
 @query("class_predictions")
 def class_predictions(spark, sf_dir):
-    """The class-analysis model: a forest on one-hot labels, surface and the grade's ordinal; four columns."""
-    rows = class_rows(spark, sf_dir, "building", "zone", "energy")
-    numerics, labels = (ROLES.surface, ROLES.ordinal), ("building", "zone", "energy")
-    complete = drop_incomplete_rows(rows.select(ROLES.key, *numerics, *labels, TARGET), [*numerics, *labels, TARGET])
-    train, test = sampling.hashed_split(staged(complete, "class-model-rows"), ROLES.key)
-    both = models.train(train, TARGET, labels, numerics, kinds=[models.FOREST], one_hot=True)
-    scored = models.score(both.whole(models.FOREST), models.spread(test))
+    """The class-analysis model in its four-column form."""
+    forest, test = fitted_classes(spark, sf_dir)
+    scored = models.score(forest.whole(models.FOREST), forest.ready(test))
     return models.prediction_table(scored, (ROLES.surface, ROLES.ordinal, TARGET))
 
 
+_CLASS_MODEL = f"""{CLASSED}, class_model as (
+  select diag_id, surface, grade_ord, intensity, {IS_TRAIN} as learned from classed
+  where building is not null and zone is not null and energy is not null)"""
+
+
+@query(
+    "prediction_keys",
+    f"with {_CLASS_MODEL} select surface, grade_ord, intensity, true as in_range from class_model where not learned",
+)
+def prediction_keys(spark, sf_dir):
+    """Every test row is in the four-column table, its score inside the range of the learned targets."""
+    forest, _ = fitted_classes(spark, sf_dir)
+    rows = class_rows(spark, sf_dir, *_CLASS_LABELS)
+    learned = drop_incomplete_rows(rows, _CLASS_LABELS).where(sampling.in_training(ROLES.key))
+    low, high = learned.agg(F.min(TARGET), F.max(TARGET)).first()
+    inside = F.col("prediction").between(low - 1e-6, high + 1e-6).alias("in_range")
+    return class_predictions(spark, sf_dir).select(ROLES.surface, ROLES.ordinal, TARGET, inside)
+
+
 def scored_by_both(spark, sf_dir):
     both, test = fitted(spark, sf_dir)
-    scored = both.preparation.transform(test)
+    scored = both.prepared(test)
     for name, column in ((models.FOREST, "p_forest"), (models.BOOSTED, "p_boosted")):
         scored = both.models[name].copy({both.models[name].predictionCol: column}).transform(scored)
     return scored
@@ -123,9 +175,27 @@ def chosen_model(spark, sf_dir):
 
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
+    """Features of the model that is chosen, by weight."""
     both, test = fitted(spark, sf_dir)
-    ranked = models.feature_importance(both, models.BOOSTED, both.preparation.transform(test))
-    return models.importance_table(spark, ranked)
+    best = chosen_model(spark, sf_dir).first()["best_model"]
+    return models.importance_table(spark, models.feature_importance(both, best, both.prepared(test)))
+
+
+@query(
+    "importance_checks",
+    " union all ".join(
+        f"select '{c}' as variable, true as in_range, cast(1 as double) as total, {len(NUMERICS) + len(ROLES.categoricals)} as n"
+        for c in [*ROLES.categoricals, *NUMERICS]
+    ),
+)
+def importance_checks(spark, sf_dir):
+    """The chosen model's importance names every feature once, with shares that add to one and ranks that follow them."""
+    found = feature_importance(spark, sf_dir)
+    whole = Window.partitionBy().orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    falls = F.lag("importance", 1, 1.0).over(Window.orderBy("rank")) >= F.col("importance")  # one row a feature
+    inside = F.col("importance").between(0, 1) & falls
+    total = F.round(F.sum("importance").over(whole), 9)
+    return found.select("variable", inside.alias("in_range"), total.alias("total"), F.count("*").over(whole).cast("int").alias("n"))
 
 
 @query(
@@ -159,9 +229,64 @@ def model_saved(spark, sf_dir):
 def index_labels(spark, sf_dir):
     """Index of every label: by falling frequency, then by name."""
     rows = model_rows(diagnostics(spark, sf_dir), ROLES)
-    check_labels(rows, ROLES.categoricals)
-    labels = label_index(indexer(ROLES.categoricals).fit(rows))
-    return spark.createDataFrame(labels, "column string, label string, idx int")
+    return label_table(rows, ROLES.categoricals).select("column", "label", "idx")
+
+
+@query(
+    "wide_labels",
+    """with labels as (
+         select l_orderkey || '-' || l_linenumber || '-' || i as label from lineitem, range(4) as t(i)
+         union all select cast(l_orderkey as varchar) from lineitem),
+       counts as (select label, count(*) as n from labels group by label)
+       select label, n, cast(row_number() over (order by n desc, label) - 1 as double) as label_rank from counts""",
+)
+def wide_labels(spark, sf_dir):
+    """A column of hundreds of thousands of labels, indexed and joined back to its rows."""
+    order = F.col("l_orderkey").cast("string")
+    several = F.array(*[F.concat_ws("-", order, F.col("l_linenumber"), F.lit(i)) for i in range(4)], order)
+    rows = table(spark, sf_dir, "lineitem").select(F.explode(several).alias("label"))
+    rows = staged(rows, "labelled-rows")
+    indexed = with_label_ranks(rows, label_table(rows, ["label"]), ["label"])
+    return indexed.groupBy("label", "label_rank").agg(F.count("*").alias("n"))
+
+
+_INDEXES = "indexes as (" + " union all ".join(
+    f"""select '{c}' as col, {c} as label, cast(row_number() over (order by count(*) desc, {c}) - 1 as int) as idx,
+               count(*) as n from model group by {c}"""
+    for c in ROLES.categoricals
+) + ")"
+
+
+@query("one_hot_slots", f'with {MODEL}, {_INDEXES} select col as "column", label, idx as slot, n from indexes')
+def one_hot_slots(spark, sf_dir):
+    """The slot that each label fills in its encoded vector, and the rows that fill it and no other."""
+    rows = staged(model_rows(diagnostics(spark, sf_dir), ROLES), "one-hot-rows")
+    encoded = fit_preparation(rows, ROLES.categoricals, [], one_hot=True).transform(rows)
+    cells = []
+    for c in ROLES.categoricals:
+        slots = vector_to_array(F.col(f"{c}_enc"))
+        only = F.when(F.aggregate(slots, F.lit(0.0), lambda a, v: a + v) == 1, F.array_position(slots, F.lit(1.0)) - 1)
+        cells.append(F.struct(F.lit(c).alias("column"), F.col(c).alias("label"), only.cast("int").alias("slot")))
+    found = encoded.select(F.inline(F.array(*cells)))
+    return found.groupBy("column", "label", "slot").agg(F.count("*").alias("n"))
+
+
+@query(
+    "assembled_features",
+    f"""with {MODEL}, {_INDEXES}
+        select diag_id, {", ".join(f"cast({c}_i.idx as double) as f{i}" for i, c in enumerate(ROLES.categoricals))},
+               surface as f{len(ROLES.categoricals)},
+               {rounded(COMMUNE_MEAN, 4)} as f{len(ROLES.categoricals) + 1}
+        from model {" ".join(f"join indexes {c}_i on {c}_i.col = '{c}' and {c}_i.label = {c}" for c in ROLES.categoricals)}""",
+)
+def assembled_features(spark, sf_dir):
+    """The vector that the models learn from, slot by slot."""
+    rows = staged(prepared_rows(spark, sf_dir), "assembled-rows")
+    assembled = fit_preparation(rows, ROLES.categoricals, NUMERICS).transform(rows)
+    values = vector_to_array(F.col("features"))
+    last = len(ROLES.categoricals) + 1
+    slots = [half_up(values[i], 4).alias(f"f{i}") if i == last else values[i].alias(f"f{i}") for i in range(last + 1)]
+    return assembled.select("diag_id", *slots)
 
 
 def stand_in(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
