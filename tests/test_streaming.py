@@ -8,7 +8,7 @@ from tests.helpers import rows
 from wattgrade.operators import quality
 from wattgrade.roles import Roles
 from wattgrade.sources import messages, readers
-from wattgrade.streaming import ingest
+from wattgrade.streaming import accounts, ingest
 
 ROLES = Roles(key="id", received="day", grade="grade", ordinal="ord", intensity="x", surface="s", total="t")
 SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "day", "grade", "x", "t", "s")])
@@ -88,3 +88,27 @@ def test_redelivered_records_come_out_once(spark, out, salts):
     once = ingest.first_seen(feed, ["k"], "ts", "1 hour", salts)
     ingest.run_to_end(ingest.land(once, f"{out}/out", f"{out}/check", fmt="parquet"))
     assert sorted(r["k"] for r in spark.read.parquet(f"{out}/out").collect()) == list(range(400))
+
+
+def test_late_and_forgotten_keys_are_told_apart(spark, out):
+    schema = T.StructType([T.StructField("a key", T.LongType()), T.StructField("ts", T.TimestampType()), T.StructField("_v", T.StringType())])
+
+    def deliver(*records):
+        rows_in = spark.createDataFrame([(k, h, v) for k, h, v in records], "k long, h int, v string")
+        at = F.to_timestamp(F.lit("2024-01-01 00:00:00")) + F.make_dt_interval(hours=F.col("h"))
+        rows_in.select(F.col("k").alias("a key"), F.when(F.col("h") >= 0, at).alias("ts"), F.col("v").alias("_v")).write.mode(
+            "append"
+        ).parquet(f"{out}/in")
+        feed = ingest.file_feed(spark, f"{out}/in", schema)
+        told = accounts.first_seen_and_late(feed, ["a key"], "ts", delay_seconds=7200)
+        ingest.run_to_end(ingest.land(told, f"{out}/out", f"{out}/check", fmt="parquet", by=["late"]))
+        found = readers.read_dataset(spark, f"{out}/out")
+        return sorted((r["_v"], str(r["late"])) for r in found.collect())
+
+    first = [("a", "False"), ("b", "False")]
+    assert deliver((1, 0, "a"), (1, 1, "a2"), (2, 0, "b")) == first
+    # The key is known; the watermark moves to ten o'clock.
+    assert deliver((1, 1, "a3"), (3, 12, "c")) == [*first, ("c", "False")]
+    # Behind the watermark, known or not: late. Ahead of it, a key forgotten meanwhile is first again.
+    last = deliver((2, 9, "d"), (4, 3, "e"), (1, 11, "f"), (3, 12, "c2"), (5, -1, "none"))
+    assert last == [*first, ("c", "False"), ("d", "True"), ("e", "True"), ("f", "False"), ("none", "True")]

@@ -11,7 +11,7 @@ from wattgrade.plans.clean_queries import class_rows
 from wattgrade.plans.registry import query
 from wattgrade.session import work_path
 from wattgrade.sources import messages, readers, records, writers
-from wattgrade.streaming import ingest
+from wattgrade.streaming import accounts, ingest
 
 
 def _customers(spark, sf_dir):
@@ -301,6 +301,42 @@ def stream_dedupe(spark, sf_dir):
     return readers.read_dataset(spark, path, once.schema)
 
 
+@query("stream_restart", _EVENTS_SQL)
+def stream_restart(spark, sf_dir):
+    """Two deliveries, a restart for the second and one without news: every event lands once."""
+    feed, path, checkpoint = (work_path(spark, f"restart-{part}") for part in ("feed", "bronze", "checkpoint"))
+    events = table(spark, sf_dir, "events").select(*_EVENT_FIELDS)
+    for part in (0, 1, None):
+        if part is not None:
+            events.where(F.col("event_id") % 2 == part).write.mode("append").parquet(feed)
+        stream = ingest.file_feed(spark, feed, events.schema)
+        ingest.run_to_end(ingest.land(stream, path, checkpoint, fmt="parquet"))
+    return readers.read_dataset(spark, path, events.schema)
+
+
+@query(
+    "stream_late",
+    """select event_id, false as late from events
+       union all select cast(-1 as bigint), false
+       union all select event_id + 1000000000, true from events where event_id % 10 = 0""",
+)
+def stream_late(spark, sf_dir):
+    """Events delivered twice, then one from a later month, then new ones from before: first ones and late ones.
+
+    The stream is stopped and started between the deliveries; state and watermark come from the checkpoint.
+    """
+    feed, path, checkpoint = (work_path(spark, f"late-{part}") for part in ("feed", "out", "checkpoint"))
+    events = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    later = events.agg(F.lit(-1).cast("long").alias("event_id"), (F.max("ts") + F.expr("interval 30 days")).alias("ts"))
+    behind = events.where("event_id % 10 = 0").withColumn("event_id", F.col("event_id") + 1000000000)
+    for delivery in (events.union(events), later, behind):
+        delivery.write.mode("append").parquet(feed)
+        stream = ingest.file_feed(spark, feed, events.schema)
+        told = accounts.first_seen_and_late(stream, ["event_id"], "ts", delay_seconds=3600)
+        ingest.run_to_end(ingest.land(told, path, checkpoint, fmt="parquet", by=["late"]))
+    return readers.read_dataset(spark, path).select("event_id", F.col("late").cast("boolean").alias("late"))
+
+
 # Raw records of all kinds ---------------------------------------------------------------------------------------------
 
 _ACCENTED = {
