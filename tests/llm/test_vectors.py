@@ -60,6 +60,9 @@ def test_near_duplicates_edge_rows(spark, rows_of):
     alone = [(i, 0, i, True) for i in (5, 6, 7, 8, 9, 10, 11)]
     linked = [(1, 1, 1, True), (2, 1, 1, False), (2, 1, 1, False), (3, 1, 3, True), (4, 1, 3, False)]
     assert got == sorted([*alone, *linked, (None, 0, None, True)], key=repr)
+    two = spark.createDataFrame([(i, [1.0 + i, 1.0, 9.0], 0) for i in range(20)] + [(30, [1.0, 1.0], 0), (31, [2.0, 2.0], 0)], SCHEMA)
+    found = {r["vec_id"]: r for r in embedding_dedup.near_duplicates(two).collect()}
+    assert (found[31]["n_links"], found[31]["component_id"], found[0]["n_links"] > 0) == (1, 30, True)
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
     assert embedding_dedup.near_duplicates(df.where("vec_id = 5")).collect()[0]["kept"]
 
@@ -107,6 +110,9 @@ def test_search_edge_rows(spark, rows_of):
     df = spark.createDataFrame(rows, SCHEMA).withColumn("score", F.lit(1)).withColumn("block", F.lit("b"))
     is_query = F.col("id") % 20 == 0
     assert rows_of(nearest.search(df, is_query)) == [(0, 1, 7, 2.0), (0, 2, 8, -1.0)]
+    assert rows_of(nearest.search(df.unionByName(df.where("vec_id = 60").withColumn("vec_id", F.lit(61).cast("long"))), is_query)) == [
+        (0, 1, 7, 2.0), (0, 2, 8, -1.0), (60, 1, 61, 1.0)
+    ]
     assert nearest.search(df.where("vec_id = 7"), is_query).count() == 0
     assert nearest.search(df.limit(0), is_query).count() == 0
 
@@ -117,3 +123,17 @@ def test_quantised_products_stay_within_their_bounds():
     near = nearest.products(q, q) * scale[:, None] * scale[None, :]
     slack = error[:, None] * norm[None, :] + (norm + error)[:, None] * error[None, :]
     assert (np.abs(near - x @ x.T) <= slack + 1e-9).all()
+
+
+def test_vectors_of_one_id_take_one_place(spark):
+    draw = np.random.default_rng(8)
+    rows = [(0, draw.normal(size=4).tolist(), 0)] + [(7, (draw.normal(size=4) + 9).tolist(), 0) for _ in range(40)]
+    rows += [(100 + i, draw.normal(size=4).tolist(), 0) for i in range(36)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    for block in (8, 4096):
+        got = nearest.search(df, F.col("id") == 0, k=20, block_rows=block).collect()
+        best = {}
+        for i, v, _ in rows[1:]:
+            best[i] = max(best.get(i, -math.inf), float(np.dot(rows[0][1], v)))
+        want = sorted(best, key=lambda i: (-best[i], i))[:20]
+        assert [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"])] == want

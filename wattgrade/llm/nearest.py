@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -33,13 +34,15 @@ def products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
 def best_of(
     queries: np.ndarray, query_ids: np.ndarray, block: np.ndarray, ids: np.ndarray, k: int, floor: np.ndarray, strip: int = 256
 ) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each query the (scores, ids) of its k best in a block, best first, by exact inner product.
+    """For each query the (scores, ids) of its k best ids in a block, best first, by exact inner product.
 
+    ``ids`` ascend; of several vectors of one id the best counts, so they never take the places of other ids.
     ``floor`` is a score that a neighbour must reach, known from earlier blocks. The approximate product and the
     norms of the rounding errors enclose the exact one: a candidate whose upper bound is under the k-th lower bound
     cannot be among the best.
     """
     cq, cs, cn, ce = quantised(block)
+    first = np.flatnonzero(np.diff(ids, prepend=ids[0] - 1)) if len(ids) else np.zeros(0, np.int64)
     out = []
     for start in range(0, len(queries), strip):
         x = queries[start : start + strip]
@@ -50,14 +53,31 @@ def best_of(
         slack += 1e-12 * (qn[:, None] * cn[None, :])
         own = query_ids[start : start + strip, None] == ids[None, :]
         low = np.where(own, -np.inf, near - slack)
-        kth = np.partition(low, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(x), -np.inf)
+        if len(first) < len(ids):
+            low = np.maximum.reduceat(low, first, axis=1)
+        kth = np.partition(low, -k, axis=1)[:, -k] if len(first) > k else np.full(len(x), -np.inf)
         reach = np.maximum(kth, floor[start : start + strip])
         alive = (near + slack >= reach[:, None]) & ~own
         for r in range(len(x)):
             at = np.flatnonzero(alive[r])
             score = (block[at] * x[r]).sum(axis=1)
-            order = np.lexsort((ids[at], -score))[:k]
-            out.append((score[order], ids[at[order]]))
+            order = np.lexsort((ids[at], -score))
+            if len(first) < len(ids):
+                order = order[np.sort(np.unique(ids[at[order]], return_index=True)[1])]
+            out.append((score[order[:k]], ids[at[order[:k]]]))
+    return out
+
+
+def distinct_best(ordered: Iterable[tuple[float, int]], k: int) -> list[tuple[float, int]]:
+    """The first k entries of different ids."""
+    out: list[tuple[float, int]] = []
+    seen: set[int] = set()
+    for entry in ordered:
+        if entry[1] not in seen:
+            seen.add(entry[1])
+            out.append(entry)
+            if len(out) == k:
+                break
     return out
 
 
@@ -77,17 +97,34 @@ def search(
     those of its own id, best score first, ties to the smaller id; with fewer than k candidates all of them come.
     Queries and rows are packed into blocks, and a task takes one block of queries and some blocks of rows.
 
-    Vectors that are null, zero, not finite or of an odd length, and rows without id, take no part. Rows with equal id
-    and vector count as one; of several vectors of one id the best counts. Without queries the result is empty.
+    Vectors that are null, zero or not finite, and rows without id, take no part. Vectors of different lengths are not
+    compared; each length is searched by itself. Rows with equal id and vector count as one; of several vectors of one id
+    the best counts. Without queries the result is empty.
     """
-    rows, dimension = clean_vectors(df, vec_id, embedding)
     out = "query_id long, rank int, vec_id long, score double"
-    if not dimension:
+    rows, dimensions = clean_vectors(df, vec_id, embedding)
+    found = None
+    for dimension in dimensions:
+        one = _search_length(rows.where(F.size("v") == dimension), is_query, k, query_rows, block_rows, blocks_per_task)
+        if one is not None:
+            found = one if found is None else found.unionByName(one)
+    if found is None:
         return df.sparkSession.createDataFrame([], out)
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
+
+
+def _search_length(
+    rows: DataFrame, is_query: Column, k: int, query_rows: int, block_rows: int, blocks_per_task: int
+) -> DataFrame | None:
+    """(query_id, vec_id, score) among (id, v) of one length, with the k best ids of each query in it; None without
+    queries."""
     rows = staged(rows.distinct(), "search-vectors")
     sizes = rows.agg(F.count("*").alias("rows"), F.count(F.when(is_query, 1)).alias("queries")).first()
     if not sizes["queries"]:
-        return df.sparkSession.createDataFrame([], out)
+        return None
     spread = F.xxhash64("id", "v")
     n_queries, n_blocks = -(-sizes["queries"] // query_rows), -(-sizes["rows"] // block_rows)
     queries = pack(rows.where(is_query).withColumn("block", F.pmod(spread, F.lit(n_queries))), "block")
@@ -114,7 +151,7 @@ def search(
                 continue
             for r, (score, found) in enumerate(best_of(queries_, query_ids, block, ids, k, floor)):
                 new = list(zip((-score).tolist(), found.tolist(), strict=True))
-                best[r] = list(heapq.merge(best[r], new))[:k]
+                best[r] = distinct_best(heapq.merge(best[r], new), k)
                 if len(best[r]) == k:
                     floor[r] = -best[r][-1][0]
         flat = [(int(q), i, -s) for q, found in zip(query_ids, best, strict=True) for s, i in found]
@@ -126,8 +163,4 @@ def search(
             }
         )
 
-    found = work.groupBy("q", "task").applyInArrow(answer, FOUND)
-    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return work.groupBy("q", "task").applyInArrow(answer, FOUND)

@@ -19,17 +19,13 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def clean_vectors(df: DataFrame, vec_id: str, embedding: str) -> tuple[DataFrame, int]:
-    """Distinct (id, v) of usable vectors with an id, and their dimension.
-
-    Vectors of another length than the most frequent one (ties: the longer) cannot be compared and take no part.
-    """
+def clean_vectors(df: DataFrame, vec_id: str, embedding: str) -> tuple[DataFrame, list[int]]:
+    """(id, v) of usable vectors with an id, and the lengths that several of them have: a vector that is the only one of
+    its length has nothing to be compared with. Most tables have one length."""
     rows = df.select(F.col(vec_id).cast("long").alias("id"), F.col(embedding).cast("array<double>").alias("v"))
     rows = rows.where(F.col("id").isNotNull() & usable(F.col("v")))
-    lengths = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    if lengths is None:
-        return rows.limit(0), 0
-    return rows.where(F.size("v") == lengths["d"]), lengths["d"]
+    lengths = rows.groupBy(F.size("v").alias("d")).count().where("count > 1").orderBy("d").collect()
+    return rows, [r["d"] for r in lengths]
 
 
 def pack(rows: DataFrame, block: str) -> DataFrame:
