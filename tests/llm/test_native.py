@@ -53,6 +53,25 @@ def test_mix_of_nothing(spark):
     assert {r["taken"] for r in mixing.mix(blank).select("mix.taken").collect()} == {0}
 
 
+def test_mix_splits_equal_rows(spark):
+    """Half of the words of a source in equal rows: the target is met to within one of them, on each rerun alike."""
+    rows = [(i, "w " * (i % 7 + 1), "en", "a", 0) for i in range(2000)] + [(5000, "w " * 20, "en", "a", 0)] * 300
+    rows += [(6000 + i, "w " * 30, "en", "b", 0) for i in range(900)] + [(None, "x", "en", None, 0)] * 500
+    df = spark.createDataFrame(rows, DOCS)
+    seen = []
+    for parts in (3, 8):
+        out = mixing.mix(df.repartition(parts), name="m").select("doc_id", "source", "m.*").collect()
+        assert len(out) == len(rows)
+        taken, target = defaultdict(int), {}
+        for r in out:
+            taken[r["source"]] += r["taken"]
+            target[r["source"]] = r["target"]
+            assert r["taken"] <= 2 * r["size"]
+        assert all(abs(taken[s] - target[s]) <= 31 for s in target)
+        seen.append(sorted((repr(r["doc_id"]), r["taken"]) for r in out))
+    assert seen[0] == seen[1]
+
+
 def test_mix_query_against_sql(spark):
     folder = "/root/testdata/sf0.001"
     got = sorted(map(tuple, op3_source_mix(spark, folder).collect()))

@@ -15,7 +15,7 @@ BITS = 60
 
 
 def document_hash(doc_id: Column, text: Column) -> Column:
-    """Depends on id and text alone, so reruns agree; rows equal in both are taken or left together."""
+    """Depends on id and text alone, so reruns agree."""
     return hash60(
         F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(text, F.lit(""))))
     )
@@ -58,11 +58,12 @@ def source_targets(
 
 
 def copy_rule(docs: DataFrame, targets: DataFrame, source: str, size: str, hashed: str) -> DataFrame:
-    """Per source: copies of every document, and the hash up to which documents get one copy more.
+    """Per source: copies of every document (base), the hash up to which documents get one copy more (last), and the
+    hash (edge) of which only some rows (more of them) do, since equal rows are interchangeable.
 
     Histograms of size by source and hash bucket give the bucket in which the budget left by whole copies runs out.
-    Only the rows of that bucket are counted again, in finer buckets, until the bucket holds one hash. Equal hashes
-    go together, on the side that comes nearer to the target.
+    Only the rows of that bucket are counted again, in finer buckets, until the bucket holds one hash. Of its rows as
+    many get one copy more as bring the words nearest to the target.
     """
     plan = targets.withColumn(
         "base", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
@@ -75,20 +76,24 @@ def copy_rule(docs: DataFrame, targets: DataFrame, source: str, size: str, hashe
     for shift in range(BITS - STEP_BITS, -1, -STEP_BITS):
         bucket = F.shiftright(F.col(hashed), shift)
         counts = rows.groupBy(source, bucket.alias("bucket")).agg(
-            F.sum(size).alias("words"), F.min(hashed).alias("low"), F.max(hashed).alias("high")
+            F.sum(size).alias("words"), F.min(hashed).alias("low"), F.max(hashed).alias("high"), F.count("*").alias("n")
         )
         counts = counts.alias("c").join(
             open_.alias("o"), F.col(f"c.{source}").eqNullSafe(F.col(f"o.{source}"))
-        ).select(f"c.{source}", "bucket", "words", "low", "high", "budget", "before")
+        ).select(f"c.{source}", "bucket", "words", "low", "high", "n", "budget", "before")
         running = Window.partitionBy(source).orderBy("bucket")
         counts = counts.withColumn("end", F.col("before") + F.sum("words").over(running))
         counts = counts.withColumn("start", F.col("end") - F.col("words"))
         edge = staged(counts.where("start <= budget and budget < end"), "mix-edge")
-        done = edge.where("low = high").select(
+        each = F.col("words") / F.col("n")  # rows of one hash are equal
+        fit = F.floor((2 * F.col("budget") - 2 * F.col("start") + each) / (2 * each))
+        done = edge.where("low = high").withColumn("more", F.greatest(F.lit(0), F.least(F.col("n"), fit)))
+        part = F.col("more").between(1, F.col("n") - 1)
+        done = done.select(
             source,
-            F.when(F.col("start") + F.col("end") <= 2 * F.col("budget"), F.col("low"))
-            .otherwise(F.col("low") - 1)
-            .alias("last"),
+            F.when(F.col("more") == F.col("n"), F.col("low")).otherwise(F.col("low") - 1).alias("last"),
+            F.when(part, F.col("low")).alias("edge"),
+            F.when(part, F.col("more")).alias("more"),
         )
         rules.append(done)
         finer = edge.where("low < high")
@@ -115,6 +120,8 @@ def copy_rule(docs: DataFrame, targets: DataFrame, source: str, size: str, hashe
         "target",
         F.col("base").cast("int").alias("base"),
         F.coalesce("last", F.lit(-1)).alias("last"),
+        "edge",
+        "more",
     )
     return staged(joined, "mix-rule")
 
@@ -127,12 +134,14 @@ def mix(
     weights: Sequence[int] = (5, 2, 1),
     share: tuple[int, int] = (3, 2),
     cap: int = 2,
+    name: str = "mix",
 ) -> DataFrame:
-    """``docs`` with ``mix``: struct(size, source_size, target, copies, taken).
+    """``docs`` with ``name``: struct(size, source_size, target, copies, taken).
 
     Sizes count words; null and empty texts have size 0 and take 0 words. ``taken`` is ``copies * size``, copies are
-    0 to ``cap``. A null source is a source of its own, a null id hashes by its text. Equal rows get equal copies. An
-    empty table gives an empty table. All other columns stay, whatever their names but ``mix``.
+    0 to ``cap``. A null source is a source of its own, a null id hashes by its text. Rows equal in source, id and text
+    are interchangeable: how many of them get one copy more is fixed, which of them is not. An empty table gives an empty
+    table. All other columns stay, whatever their names but ``name``.
     """
     plain = docs.select(
         F.col(source).alias("source"),
@@ -149,11 +158,23 @@ def mix(
         document_hash(F.col(doc_id), F.col(text)).alias("hash"),
     )
     joined = inner.join(rule, inner[names[source]].eqNullSafe(rule["source"]), "left")
-    copies = F.col("base") + F.when(F.col("hash") <= F.col("last"), 1).otherwise(0)
+    number = F.lit(None).cast("long")
+    if not rule.where("more is not null").isEmpty():
+        # Rows of a source's edge hash, which are its equal rows, are written once and numbered.
+        at_edge = F.col("hash").eqNullSafe(F.col("edge"))
+        edge = staged(joined.where(at_edge).withColumn("tie", F.monotonically_increasing_id()), "mix-edge-rows")
+        edge = numbered(edge, "number", F.col(names[source]), F.col("tie"))
+        first = edge.groupBy(F.col(names[source]).alias("named")).agg(F.min("number").alias("first"))
+        edge = edge.join(first, F.col(names[source]).eqNullSafe(F.col("named")))
+        edge = edge.withColumn("number", F.col("number") - F.col("first")).drop("tie", "named", "first")
+        joined = joined.where(~at_edge).withColumn("number", number).unionByName(edge)
+        number = F.col("number")
+    one_more = (F.col("hash") <= F.col("last")) | (number < F.col("more"))
+    copies = F.col("base") + F.when(one_more, 1).otherwise(0)
     joined = joined.withColumn("copies", copies)
     return joined.select(
         *[F.col(n).alias(c) for c, n in names.items()],
         F.struct(
             "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken")
-        ).alias("mix"),
+        ).alias(name),
     )

@@ -97,19 +97,24 @@ targets as (
 plans as (
   select *, case when source_size > 0 then floor(target / source_size) else 0 end as base
   from targets),
+-- Rows of one hash are equal: as many of them get one copy more as come nearest to the target.
 groups as (
-  select source, h, sum(size) as words from sized group by source, h),
+  select source, h, sum(size) as words, count(*) as n, sum(size) / count(*) as each from sized group by source, h),
 placed as (
-  select source, h, words, coalesce(sum(words) over (partition by source order by h
+  select source, h, n, each, coalesce(sum(words) over (partition by source order by h
          rows between unbounded preceding and 1 preceding), 0) as before
   from groups),
 extra as (
-  select p.source, p.h, case when 2 * p.before + p.words <= 2 * (t.target - t.base * t.source_size)
-                             then 1 else 0 end as more
-  from placed p join plans t on p.source is not distinct from t.source)
+  select p.source, p.h,
+         case when p.each = 0 then 0
+              else greatest(0, least(p.n, floor((2 * (t.target - t.base * t.source_size) - 2 * p.before + p.each)
+                                                / (2 * p.each)))) end as more
+  from placed p join plans t on p.source is not distinct from t.source),
+numbered as (
+  select *, row_number() over (partition by source, h) as number from sized)
 select s.doc_id, s.size, t.source_size, t.target,
-       cast((t.base + e.more) * s.size as bigint) as taken
-from sized s
+       cast((t.base + case when s.number <= e.more then 1 else 0 end) * s.size as bigint) as taken
+from numbered s
 join plans t on s.source is not distinct from t.source
 join extra e on s.source is not distinct from e.source and s.h = e.h
 """
