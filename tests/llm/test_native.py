@@ -111,6 +111,16 @@ def test_equal_texts_share_a_shard(spark):
     assert all(len(s) == 1 for s in where.values())
 
 
+@pytest.mark.parametrize("copies", [600, 3500])
+def test_rows_equal_in_id_and_text_are_cut_where_shards_end(spark, copies):
+    rows = [(i, f"text {i} " + "y" * 170) for i in range(7200 - copies)] + [(99999, "equal " * 30)] * copies
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out, size = shards_of(df)
+    assert len(out) == len(rows) and set(size) == set(range(24))
+    mean = sum(size.values()) / 24
+    assert all(abs(s - mean) <= 0.04 * mean for s in size.values())
+
+
 def test_shards_of_odd_rows(spark):
     df = spark.createDataFrame([(1, None), (None, "a"), (None, "a"), (1, None), (2, "")], "doc_id long, text string")
     out, _ = shards_of(df)

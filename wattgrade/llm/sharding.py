@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattgrade.llm.common import hash60
+from wattgrade.llm.common import hash60, numbered
 from wattgrade.session import staged
 
 LAW = "bytes"
@@ -40,6 +40,41 @@ def as_ranges(splitters: DataFrame) -> DataFrame:
     return cuts.select(F.col("cut").alias("low"), F.lead("cut", 1, TOP).over(ordered).alias("high"))
 
 
+def shard_pieces(ranges: DataFrame, shards: int, total: int) -> DataFrame:
+    """(low, high, shard, start, n, first): which places of the sorted rows go to which shard, from slot ``first`` on.
+
+    A range goes as a whole to the shard in which its middle byte lies. Only a range of equal rows, which no splitter
+    can divide, is cut by number where shards end. All windows run over the ranges, whose number the parameters bound.
+    """
+    before = Window.orderBy("low").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0))
+    ranges = ranges.select(
+        "low", "high", "bytes", "n", (F.col("keys_low") == F.col("keys_high")).alias("equal"),
+        earlier("bytes").alias("byte"), earlier("n").alias("at"),
+    )
+    per_shard, each = max(1, total) / shards, F.col("bytes") / F.col("n")
+    in_shard = lambda byte: F.least(F.floor(byte / F.lit(per_shard)), F.lit(shards - 1))
+    middle = in_shard(F.col("byte") + F.col("bytes") / 2)
+    from_, to = in_shard(F.col("byte") + each / 2), in_shard(F.col("byte") + F.col("bytes") - each / 2)
+    ranges = ranges.withColumn("from", F.when(F.col("equal"), from_).otherwise(middle))
+    ranges = ranges.withColumn("to", F.when(F.col("equal"), to).otherwise(middle))
+    cut = ranges.withColumn("shard", F.explode(F.sequence("from", F.greatest("from", "to"))))
+    # The first row of the group whose middle byte lies in a shard.
+    first_row = lambda s: F.ceil((s * F.lit(per_shard) - F.col("byte")) / each - 0.5)
+    begin = F.when(F.col("shard") == F.col("from"), 0).otherwise(first_row(F.col("shard")))
+    end = F.when(F.col("shard") >= F.col("to"), F.col("n")).otherwise(first_row(F.col("shard") + 1))
+    cut = cut.withColumn("begin", begin).withColumn("n", end - begin).where("n > 0")
+    filled = Window.partitionBy("shard").orderBy("low").rowsBetween(Window.unboundedPreceding, -1)
+    return cut.select(
+        "low",
+        "high",
+        F.col("shard").cast("int").alias("shard"),
+        (F.col("at") + F.col("begin")).alias("start"),
+        "n",
+        F.coalesce(F.sum("n").over(filled), F.lit(0)).alias("first"),
+    )
+
+
 def shard(
     docs: DataFrame,
     shards: int = 24,
@@ -56,8 +91,9 @@ def shard(
     texts, in the last round also inside a group of equal texts. Consecutive ranges then fill the shards, so shard
     sizes differ by about a range, 1/64 of a shard. Equal texts share a shard unless they outgrow two ranges.
 
-    Null texts have the size 8 and the checksum of the empty text; null ids are allowed. Rows equal in id and text stay
-    in one range however many they are, and take different slots. An empty table gives an empty table.
+    Null texts have the size 8 and the checksum of the empty text; null ids are allowed. Rows equal in id and text take
+    different slots and are interchangeable; a range of them is cut by number where a shard is full, so however many they
+    are, shards stay near equal. An empty table gives an empty table.
     """
     rows = docs.select(
         F.col(doc_id).alias("doc_id"),
@@ -77,7 +113,7 @@ def shard(
         group_start = F.rpad(F.substring("key", 1, 16), 32, "0")
         if ranges is None:
             drawn = rows.where(chance < F.col("size") * (draws / share)).select(
-                F.lit("").alias("low"), "key", group_start.alias("cut")
+                F.lit("").alias("low"), "key", F.array(group_start).alias("cut")
             )
         else:
             whole_groups = step < rounds
@@ -90,12 +126,16 @@ def shard(
                     continue
                 break
             inside = in_ranges(rows, over.select("low", "high")).join(F.broadcast(over.drop("high")), "low")
+            # A cut before what is drawn and one behind it, so that a large group gets a range of its own.
+            group_end = F.concat(F.substring("key", 1, 16), F.lit("g"))
+            ends = (group_start, group_end) if whole_groups else (F.col("key"), F.concat("key", F.lit("0")))
             drawn = inside.where(chance < F.col("size") * (draws / share)).select(
-                "low", "key", (group_start if whole_groups else F.col("key")).alias("cut")
+                "low", "key", F.array(*ends).alias("cut")
             )
         # Quantiles of the sample: every draws-th key becomes a cut.
         position = F.row_number().over(Window.partitionBy("low").orderBy("key"))
-        cuts = drawn.withColumn("position", position).where(F.col("position") % draws == 0).select("cut")
+        cuts = drawn.withColumn("position", position).where(F.col("position") % draws == 0)
+        cuts = cuts.select(F.explode("cut").alias("cut"))
         old = start if ranges is None else ranges.select(F.col("low").alias("cut"))
         ranges = staged(as_ranges(old.unionByName(cuts)), "shard-ranges")
         text_part = F.substring("key", 1, 16)
@@ -107,25 +147,22 @@ def shard(
                 F.count("*").alias("n"),
                 F.min(text_part).alias("texts_low"),
                 F.max(text_part).alias("texts_high"),
+                F.min("key").alias("keys_low"),
+                F.max("key").alias("keys_high"),
             ),
             "shard-bytes",
         )
-    before = Window.orderBy("low").rowsBetween(Window.unboundedPreceding, -1)
-    middle = F.coalesce(F.sum("bytes").over(before), F.lit(0)) + F.col("bytes") / 2
-    placed = per_range.withColumn("shard", F.least(F.floor(middle * shards / F.lit(max(1, total))), F.lit(shards - 1)))
-    in_shard = Window.partitionBy("shard").orderBy("low").rowsBetween(Window.unboundedPreceding, -1)
-    placed = placed.select(
-        "low", "high", F.col("shard").cast("int").alias("shard"), F.coalesce(F.sum("n").over(in_shard), F.lit(0)).alias("first")
-    )
-    placed = staged(placed, "shard-map")
-    found = in_ranges(rows, placed.select("low", "high")).join(F.broadcast(placed.drop("high")), "low")
-    within = Window.partitionBy("low").orderBy("key")
+    pieces = staged(shard_pieces(per_range, shards, total), "shard-map")
+    # Equal rows are numbered too, by where they lie, so that a group of them can be cut by number.
+    placed = numbered(rows.withColumn("tie", F.monotonically_increasing_id()), "place", F.col("key"), F.col("tie"))
+    found = in_ranges(placed, pieces.select("low", "high").distinct()).join(F.broadcast(pieces.drop("high")), "low")
+    found = found.where("place >= start and place < start + n")
     return found.select(
         "doc_id",
         "size",
         "text_crc32",
         F.lit(LAW).alias("law"),
         "shard",
-        (F.col("first") + F.row_number().over(within) - 1).cast("long").alias("slot"),
+        (F.col("first") + F.col("place") - F.col("start")).cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
