@@ -309,7 +309,46 @@ def test_context_separates_quotation_from_abuse():
     quoted = dict(zip(toxicity.FEATURES, scorer.numbers('she said the word "idiot" is an insult, as is "moron"'), strict=True))
     assert plain["abuse"] > quoted["abuse"] and plain["quoted"] == 0 < quoted["quoted"] and plain["aimed"] > 0
     assert scorer.numbers("an idiom") == scorer.numbers(None) == scorer.numbers("") == (0.0,) * 5
-    assert scorer.near_words("an Idiott, an idiot") == {"idiott"}
+    assert [(h[0], h[2]) for h in scorer.described("an Idiott, an idiot")] == [("idiott", 1), ("idiot", 0)]
+
+
+def test_context_reaches_as_far_as_it_has_to():
+    scorer = toxicity.Scorer(toxicity.Lexicon({"idiot": 5.0}))
+    far = "extraordinarily " * 20
+    inside = scorer.described(f'say "{far} makes you an idiot {far}" and go')[0]
+    assert inside[4] == pytest.approx(5.0 * 0.8) and inside[5] == pytest.approx(1.0)
+    assert scorer.described(f'"{far}" and you are an idiot')[0][4] == 0.0  # the quotation is over
+    assert scorer.described(f'he "said\n{far} idiot')[0][4] == 0.0  # an open mark ends with its line
+    assert scorer.described(f'it was "{far} idiot')[0][4] == pytest.approx(5.0 * 0.4)
+    assert scorer.described("»so ein idiot« und „noch idiot“, «un idiot»")[1][4] == pytest.approx(5.0 * 0.8)
+    # The window holds eight words on each side, however long they are.
+    near, beyond = "extraordinarily " * 6, "extraordinarily " * 8
+    assert scorer.described(f"you {near} idiot")[0][5] > 0 and scorer.described(f"idiot {near} you")[0][5] > 0
+    assert scorer.described(f"you {beyond} idiot")[0][5] == 0 and scorer.described(f"idiot {beyond} you")[0][5] == 0
+
+
+def test_marks_against_a_plain_reading():
+    draw = np.random.default_rng(5)
+    for _ in range(300):
+        text = "".join(draw.choice(list('ab"\n«»“”„'), 30))
+        places = [i for i, c in enumerate(text) if c in "ab"]
+        want, open_at, state = {}, None, None
+        for i, c in enumerate(text + "\n"):
+            if state is not None and (c == "\n" or c in toxicity.QUOTES[state]):
+                closed = 2 if c != "\n" else 1
+                want |= {p: closed for p in places if open_at < p < i}
+                state = None
+            elif state is None and c in toxicity.QUOTES:
+                open_at, state = i, c
+        assert toxicity.quoted_at(text, places) == [want.get(p, 0) for p in places]
+
+
+def test_states_of_an_automaton_are_bounded(monkeypatch):
+    monkeypatch.setattr(toxicity, "MAX_STATES", 5)
+    automaton = toxicity.TermAutomaton({"idiot": 5.0, "moron": 5.0})
+    for word in ("idiot", "idot", "morons", "mooron", "calm", "id1ot") * 3:
+        found = automaton.find(word)
+        assert len(automaton.sets) < 30 and (found is None) == (word == "calm")
 
 
 def test_toxicity_on_held_out_rows(spark):
@@ -364,7 +403,7 @@ def test_rare_short_and_mixed_terms_are_learned(spark):
     rows += [(6000 + i, f"{prose(rng, 12)} {w} {prose(rng, 12)}", 1) for i, w in enumerate(toxic)]
     near = prose(rng, 60).split()
     rows += [(9000 + i, " ".join([*near, f"unique{w}"]), 1) for i, w in enumerate("abcd")]
-    lexicon, _ = toxicity.learn_lexicon(spark.createDataFrame(rows, "doc_id long, text string, label int"), "text", "label")
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "doc_id long, text string, label int"), "text", "label")
     assert set(toxic) <= set(lexicon.terms) and len(set(toxic)) > 256
     assert not {w for w in near if len(w) > 7} & set(lexicon.terms)
 

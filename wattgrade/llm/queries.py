@@ -20,7 +20,7 @@ from wattgrade.llm import (
     toxicity,
     url_filter,
 )
-from wattgrade.llm.common import held_out, table
+from wattgrade.llm.common import hash60, held_out, table
 from wattgrade.session import staged
 
 
@@ -28,21 +28,32 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, whole: bool = False) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, whole: bool = False, learn_rows: int = 20_000) -> DataFrame:
     """doc_id, held_out, score, predicted of every row of ``docs``, learned from labels that are not held out.
 
-    ``whole`` adds the row itself as the struct ``row``.
+    ``whole`` adds the row itself as the struct ``row``. The lexicon is learned from the texts of about ``learn_rows``
+    labelled ids of each label, drawn by a hash of the id; the weights of its features and the words of their own come
+    from all labelled rows. An id with several labels counts as toxic if one says so; other values than 0 and 1 are no
+    labels. Null and empty texts, and all texts if there is nothing to learn from, score alike and are not predicted.
+    Null ids are never labelled. Repeated rows each get their score. Empty tables give no rows.
     """
     row = [F.struct(*[F.col(c) for c in docs.columns]).alias("row")] if whole else []
     doc = docs.select("doc_id", "text", *row)
     label = labels.select(F.col("doc_id").alias("_labelled"), F.col("toxic").cast("int").alias("_toxic"))
     label = label.where(F.col("_toxic").isin(0, 1) & ~held_out(F.col("_labelled"), 3, 1))
-    label = label.groupBy("_labelled").agg(F.max("_toxic").alias("_toxic"))
-    train = doc.drop("row").join(label, F.col("doc_id") == F.col("_labelled"))
-    lexicon, own = toxicity.learn_lexicon(train, "text", "_toxic")
-    found = toxicity.described(doc, lexicon).withColumn("_row", F.monotonically_increasing_id())
+    label = staged(label.groupBy("_labelled").agg(F.max("_toxic").alias("_toxic")), "toxicity-labels")
+    counts = {r["_toxic"]: r["n"] for r in label.groupBy("_toxic").agg(F.count("*").alias("n")).collect()}
+    drawn = hash60(F.col("_labelled").cast("string")) / float(1 << 60)
+    share = {t: min(1.0, learn_rows / max(1, counts.get(t, 0))) for t in (0, 1)}
+    sample = label.where(drawn < F.when(F.col("_toxic") == 1, share[1]).otherwise(share[0]))
+    # About twice learn_rows ids, whatever the size of the tables.
+    train = doc.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_labelled"))
+    lexicon = toxicity.learn_lexicon(train, "text", "_toxic")
+    found = toxicity.described(doc.withColumn("copy", F.xxhash64("text")), lexicon)
     # The numbers of the rows are fixed once they are written.
-    measured = staged(toxicity.measured(staged(found, "toxicity-hits"), own, "_row"), "toxicity")
+    found = staged(found.withColumn("_row", F.monotonically_increasing_id()), "toxicity-hits")
+    own = toxicity.own_words(found, label, "doc_id", "_labelled", "_toxic")
+    measured = staged(toxicity.measured(found.drop("copy"), own, "_row"), "toxicity")
     model = toxicity.fit(measured.select("doc_id", "tox").join(label, F.col("doc_id") == F.col("_labelled")), "_toxic")
     out = toxicity.scored(measured, model, 0.7)
     added = ["row"] if whole else []

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import Counter, deque
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
@@ -24,8 +24,20 @@ from wattgrade.session import staged
 # A word may hold the signs that stand in for letters, but neither starts nor ends with one.
 WORD = r"\w(?:[\w@$*]*\w)?"
 _words = re.compile(WORD)
-# Opening and closing quotation marks, and words that announce a quotation.
-QUOTES = "\"“”„«»‹›「」`"
+# Quotation marks, each with those that close what it opens, and words that announce a quotation.
+QUOTES = {
+    '"': '"',
+    "`": "`'",
+    "“": "”“",
+    "„": "“”",
+    "”": "”",
+    "«": "»",
+    "»": "«",
+    "‹": "›",
+    "›": "‹",
+    "「": "」",
+}
+_marks = re.compile("[" + "".join(QUOTES) + "」'\n]")
 REPORTING = frozenset(
     "said says say called calls wrote writes quote quoted quotes term word words phrase says slur insult insults "
     "dit disait mot terme insulte sagte sagt wort begriff beleidigung dijo dice palabra término insulto".split()
@@ -40,6 +52,10 @@ def edits_allowed(term: str) -> int:
     return 0 if len(term) < 4 else 1 if len(term) < 8 else 2
 
 
+# States of an automaton that a worker keeps.
+MAX_STATES = 100_000
+
+
 class TermAutomaton:
     """The union of the terms' Levenshtein automata, run along their trie.
 
@@ -65,12 +81,16 @@ class TermAutomaton:
                 self.allowed[node] = max(self.allowed[node], edits_allowed(term))
             self.term[node] = term
         self.alphabet = {letter for c in self.children for letter in c}
+        self.restart()
+
+    def restart(self) -> None:
+        """No states but the first: those met by many words would outgrow any memory otherwise."""
         self.states: dict[frozenset, int] = {}
         self.sets: list[dict[int, int]] = []
         self.moves: list[dict[str, int]] = []
         self.ends: list[tuple[str, int] | None] = []
         self.dead = self.state({})
-        self.start = self.state({0: 0}) if terms else self.dead
+        self.start = self.state({0: 0}) if self.weight else self.dead
 
     def state(self, reached: dict[int, int]) -> int:
         """The number of the state with these (node, edits), closed under letters missing from the word."""
@@ -113,6 +133,8 @@ class TermAutomaton:
 
     def find(self, word: str) -> tuple[str, int] | None:
         """(term, edits) of the nearest term within its edits, or None."""
+        if len(self.sets) > MAX_STATES:
+            self.restart()
         state, dead, moves, alphabet = self.start, self.dead, self.moves, self.alphabet
         for letter in word:
             if letter not in alphabet:
@@ -130,7 +152,7 @@ class TermAutomaton:
 class Lexicon:
     """Terms with weights, and words near a term that clean texts use as words of their own.
 
-    A learned lexicon leaves ``own_words`` empty: these words grow with the data and stay in a table (``learn_lexicon``).
+    A learned lexicon leaves ``own_words`` empty: these words grow with the data and stay in a table (``own_words``).
     """
 
     terms: dict[str, float]
@@ -139,8 +161,34 @@ class Lexicon:
     misspelled: float = 0.6
 
 
+def quoted_at(text: str, places: list[int]) -> list[int]:
+    """For ascending places in a text: 2 between an opening mark and the one that closes it, 1 behind an opening mark
+    that nothing closes, else 0. Marks are followed through the whole text; an open one ends with its line."""
+    out = [0] * len(places)
+    at = since = 0
+    closing: str | None = None
+    for mark in _marks.finditer(text):
+        sign, here = mark[0], mark.start()
+        if closing is not None and (sign == "\n" or sign in closing):
+            for i in range(since, len(places)):
+                if places[i] >= here:
+                    break
+                out[i] = 1 if sign == "\n" else 2
+            closing = None
+        elif closing is None and sign in QUOTES:
+            closing = QUOTES[sign]
+            while at < len(places) and places[at] < here:
+                at += 1
+            since = at
+            if at == len(places):
+                return out
+    if closing is not None:
+        out[since:] = [1] * (len(places) - since)
+    return out
+
+
 class Scorer:
-    """Finds the terms of a text and describes them in numbers; one per Python worker and lexicon."""
+    """Finds the terms of a text and describes them in numbers."""
 
     CACHED = 300_000
 
@@ -162,36 +210,40 @@ class Scorer:
         self.seen[word] = found
         return found
 
-    def hits(self, text: str | None) -> list[tuple[re.Match, str, int]]:
+    def hits(self, text: str | None) -> list[tuple[re.Match, str, int, list[str]]]:
+        """(match, term, edits, words of the window on both sides) of every hit, from one pass over the words."""
         if not text:
             return []
-        seen, out = self.seen, []
+        window, seen, out = self.lexicon.window, self.seen, []
+        recent: deque[str] = deque(maxlen=window)
+        waiting: list[tuple[int, list[str]]] = []  # words that a window holds when it is full, and the window
         for match in _words.finditer(text):
             word = match[0]
+            if waiting:
+                for full, near in waiting:
+                    near.append(word)
+                waiting = [w for w in waiting if len(w[1]) < w[0]]
             found = seen[word] if word in seen else self.hit(word)
             if found:
-                out.append((match, *found))
+                near = list(recent)
+                waiting.append((len(near) + window, near))
+                out.append((match, *found, near))
+            recent.append(word)
         return out
 
-    def near_words(self, text: str | None) -> set[str]:
-        """The misspelled hits of a text, lower case."""
-        return {match[0].lower() for match, _, edits in self.hits(text) if edits}
-
     def described(self, text: str | None) -> list[tuple[str, str, int, float, float, float]]:
         """(word, term, edits, abuse, quoted, aimed) of every hit of a text, the word in lower case.
 
-        A hit weighs its term's weight, less for each edit. Its context window of ``window`` words on either side
-        decides how much of it is quotation: an open quotation mark before it, a closing one behind it, a reporting
-        word. The rest is abuse, and more so next to a word that aims it at someone.
+        A hit weighs its term's weight, less for each edit. How much of it is quotation depends on whether it stands
+        between quotation marks, however far away, and on a reporting word in its context window of ``window`` words on
+        either side. The rest is abuse, and more so with a word in the window that aims it at someone.
         """
         out = []
-        reach = self.lexicon.window * 8
-        for match, term, edits in self.hits(text):
+        hits = self.hits(text)
+        marked = quoted_at(text, [hit[0].start() for hit in hits]) if hits else []
+        for (match, term, edits, words), marks in zip(hits, marked, strict=True):
             weight = self.lexicon.terms[term] * self.lexicon.misspelled**edits
-            before, behind = text[max(0, match.start() - reach) : match.start()], text[match.end() : match.end() + reach]
-            near = [w.lower() for w in _words.findall(before)[-self.lexicon.window :]]
-            near += [w.lower() for w in _words.findall(behind)[: self.lexicon.window]]
-            marks = any(q in before for q in QUOTES) + any(q in behind for q in QUOTES)
+            near = [w.lower() for w in words]
             told = any(w in REPORTING for w in near)
             quotation = min(1.0, 0.4 * marks + 0.3 * told) if marks else 0.15 * told
             abuse = weight * (1.0 - quotation)
@@ -211,15 +263,6 @@ class Scorer:
         )
 
 
-_scorers: list[Scorer] = []
-
-
-def scorer_of(lexicon: Lexicon) -> Scorer:
-    if not _scorers or _scorers[0].lexicon != lexicon:
-        _scorers[:] = [Scorer(lexicon)]
-    return _scorers[0]
-
-
 def word_rows(texts: DataFrame) -> DataFrame:
     """(word, mark, clean): a row per word and toxic text, with the text's mark, and counts of clean texts by word.
 
@@ -263,14 +306,13 @@ def surprise(toxic: Column, clean: Column, n_toxic: int, n_clean: int) -> Column
 
 def learn_lexicon(
     labelled: DataFrame, text: str, label: str, least: int = 3, least_ratio: float = 12.0, z: float = 3.5
-) -> tuple[Lexicon, DataFrame]:
-    """Terms that toxic texts use far more often than clean ones, and the own words (word).
+) -> Lexicon:
+    """Terms that toxic texts use far more often than clean ones.
 
     A term is any word of the scorer's that occurs in ``least`` toxic texts, whose odds are ``least_ratio`` times as
     high in toxic texts, and that differs between the two with confidence ``z``. None of these bounds grows with the
-    data, and all words that pass are kept. Copies count once, and so do toxic texts with the same mark. Words are
-    counted over all labelled rows. In a second pass all words within the allowed edits of a term that clean texts use
-    as well are noted as words of their own.
+    data, and all words that pass are kept. Copies count once, and so do toxic texts with the same mark. Null texts
+    count as none; without toxic texts the lexicon is empty.
     """
     texts = labelled.select(F.col(text).alias("text"), F.col(label).alias("label")).where("text is not null")
     texts = texts.groupBy(F.md5("text").alias("hash")).agg(F.first("text").alias("text"), F.max("label").alias("label"))
@@ -280,33 +322,30 @@ def learn_lexicon(
     counted = staged(counted.where((F.col("toxic") >= least) | (F.col("word") == "")), "toxicity-words")
     n = counted.where("word = ''").first()
     if n is None or not n["toxic"]:
-        return Lexicon({}), labelled.sparkSession.createDataFrame([], "word string")
+        return Lexicon({})
     toxic, clean = n["toxic"], n["clean"]
     ratio = ((F.col("toxic") + 0.5) / (toxic + 1.0)) / ((F.col("clean") + 0.5) / (clean + 1.0))
     found = counted.where("word != ''").withColumn("weight", F.log(ratio)).where(F.col("weight") >= math.log(least_ratio))
     found = found.where(surprise(F.col("toxic"), F.col("clean"), toxic, clean) >= z * z)
-    lexicon = Lexicon({row["word"]: float(row["weight"]) for row in found.orderBy("word").collect()})
+    return Lexicon({row["word"]: float(row["weight"]) for row in found.orderBy("word").collect()})
 
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = scorer_of(lexicon)
-        for batch in batches:
-            pairs = [
-                (word, label_)
-                for body, label_ in zip(batch.column(0), batch.column(1).to_pylist(), strict=True)
-                for word in scorer.near_words(body.as_py())
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([p[0] for p in pairs], pa.string()), pa.array([p[1] for p in pairs], pa.int32())], ["word", "label"]
-            )
 
-    near_words = texts.select("text", F.col("label").cast("int").alias("label")).mapInArrow(near, "word string, label int")
-    by_word = near_words.groupBy("word").agg(F.sum("label").alias("toxic"), F.count("*").alias("n"))
-    # A word of its own: clean texts hold it, and toxic ones not far more often.
-    own = by_word.where(
-        (F.col("n") > F.col("toxic"))
-        & ((F.col("toxic") + 0.5) / (toxic + 1.0) < 4.0 * (F.col("n") - F.col("toxic") + 0.5) / (clean + 1.0))
-    )
-    return lexicon, staged(own.select("word"), "toxicity-own-words")
+def own_words(found: DataFrame, label: DataFrame, doc_id: str, labelled: str, toxic: str) -> DataFrame:
+    """(word): misspelled hits that clean texts use as words of their own, and toxic ones not far more often.
+
+    From ``described`` rows with ``copy``, a hash of the text, and all labels (``labelled``: the id, ``toxic``: 0 or 1).
+    Only ids, hashes and hit words are shuffled. Copies count once, as toxic if one of them is labelled so.
+    """
+    known = found.select(doc_id, "copy", "hits").join(label, F.col(doc_id) == F.col(labelled))
+    near = F.array_distinct(F.transform(F.filter("hits", lambda h: h["edits"] > 0), lambda h: h["word"]))
+    texts = known.groupBy("copy").agg(F.max(toxic).alias("toxic"))
+    sizes = texts.agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("clean")).first()
+    words = known.select("copy", F.col(toxic).alias("toxic"), F.explode(near).alias("word"))
+    words = words.groupBy("word", "copy").agg(F.max("toxic").alias("toxic"))
+    by_word = words.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n"))
+    often = (F.col("toxic") + 0.5) / (sizes["toxic"] + 1.0)
+    rare = 4.0 * (F.col("n") - F.col("toxic") + 0.5) / (sizes["clean"] + 1.0)
+    return staged(by_word.where((F.col("n") > F.col("toxic")) & (often < rare)).select("word"), "toxicity-own-words")
 
 
 HIT = pa.struct(
@@ -316,13 +355,16 @@ HIT = pa.struct(
 
 
 def described(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` but the text, ``spaces`` in the text, and ``hits``: what ``Scorer.described`` finds in it."""
+    """All columns of ``docs`` but the text, ``spaces`` in the text, and ``hits``: what ``Scorer.described`` finds in it.
+
+    Whole texts are read; null and empty ones have no hits. Repeated rows each keep their own. An empty table stays empty.
+    """
     rows = docs.select(F.col(text), *[c for c in docs.columns if c != text])
     hit = "struct<word: string, term: string, edits: int, abuse: double, quoted: double, aimed: double>"
     schema = StructType([*rows.schema.fields[1:], *StructType.fromDDL(f"spaces long, hits array<{hit}>").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = scorer_of(lexicon)
+        scorer = Scorer(lexicon)  # ends with the task
         for batch in batches:
             texts = batch.column(0).to_pylist()
             found = [[dict(zip(HIT.names, hit, strict=True)) for hit in scorer.described(t)] for t in texts]
@@ -338,7 +380,8 @@ def described(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFram
 def measured(found: DataFrame, own: DataFrame, row: str) -> DataFrame:
     """All columns of ``found`` but spaces and hits, and ``tox``: struct of FEATURES over the whole text.
 
-    Misspelled hits that are ``own`` words do not count. ``row`` is a column that numbers the rows of ``found``.
+    Misspelled hits that are ``own`` words do not count. ``row`` is a column that numbers the rows of ``found``. Rows
+    without hits have zeros.
     """
     near = F.array_distinct(F.transform(F.filter("hits", lambda h: h["edits"] > 0), lambda h: h["word"]))
     known = found.select(row, F.explode(near).alias("word")).join(own, "word")
