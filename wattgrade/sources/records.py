@@ -1,7 +1,7 @@
 """JSON records of any shape: schema, envelope and layout come from the records themselves.
 
-One pass parses each line to a variant, looks into its envelope, keeps what is no record with its place, and merges the
-schemas of all records as an aggregate. Columns are taken from the parsed values afterwards.
+One pass parses each line to a variant, looks into its envelope and keeps what is no record with its place. The schemas of
+all parsed records are merged as an aggregate, and columns are taken from them.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +24,7 @@ PLAIN_NAME = re.compile(r'[^"?\\]+')
 
 @dataclass(frozen=True)
 class Records:
-    """What one pass found.
+    """What one pass over the text found.
 
     ``parsed`` holds ``record`` (variant, always an object); ``rejected`` holds file_name, block_start (the byte at which
     the file's split begins), line_no (from 0 within that split, blank lines counted), reason and text; ``schema`` is the
@@ -62,13 +62,12 @@ def read_records(spark: SparkSession, path: str | Sequence[str], envelope: str =
     complete value is ignored, as Spark's JSON reader does. Blank lines count as nothing. An empty folder gives no records and an empty schema; a missing one is an error.
     """
     reader = spark.read.option("recursiveFileLookup", True)
-    lines, found = Observation(), Observation()
     place = [F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_block_start").alias("block_start")]
     text = reader.text(path, wholetext=whole).select("value", *place, F.monotonically_increasing_id().alias("at"))
     text = text.withColumn("filled", ~F.regexp_like("value", F.lit(r"^\s*$")))
-    parsed = text.withColumn("line", F.try_parse_json("value")).observe(lines, F.count_if(F.col("filled")).alias("n_lines"))
+    parsed = text.withColumn("line", F.try_parse_json("value"))
     # Lines without an entry stay as rows without a record, so that line numbers count them.
-    entries = parsed.select("*", F.explode_outer(_entries(F.col("line"), envelope)).alias("record"))
+    entries = parsed.select("*", F.posexplode_outer(_entries(F.col("line"), envelope)).alias("entry", "record"))
     malformed = F.col("filled") & F.col("line").isNull()
     good = _object(F.col("record")).isNotNull()
     reason = F.when(malformed, MALFORMED).when(F.col("record").isNotNull() & ~good, NO_RECORD)
@@ -80,12 +79,8 @@ def read_records(spark: SparkSession, path: str | Sequence[str], envelope: str =
         reason.alias("reason"),
         rejected_text.alias("text"),
         F.when(good, F.col("record")).alias("record"),
+        (F.col("filled") & (F.coalesce("entry", F.lit(0)) == 0)).alias("begins"),  # the first entry of its line
         reason.isNotNull().alias("rejected"),
-    ).observe(
-        found,
-        F.count_if(F.col("rejected")).alias("n_rejected"),
-        F.count("record").alias("n_records"),
-        F.schema_of_variant_agg("record").alias("kind"),
     )
     # One read, two folders: what is a record and what is not.
     out = work_path(spark, "records")
@@ -93,13 +88,21 @@ def read_records(spark: SparkSession, path: str | Sequence[str], envelope: str =
     stored = spark.read.schema(sorted_out.schema).parquet(out)
     firsts = stored.groupBy("file_name", "block_start").agg(F.min("at").alias("first"))
     rejected = stored.where("rejected").join(firsts, ["file_name", "block_start"])
-    counts = {"n_lines": lines.get["n_lines"], **{c: found.get[c] for c in ("n_records", "n_rejected")}}
+    # Over the parsed values: an observation of the write would say the same, but a session that holds one can no longer
+    # send its machine-learning functions to tasks.
+    found = stored.agg(
+        F.count_if(F.col("begins")).alias("n_lines"),
+        F.count("record").alias("n_records"),
+        F.count_if(F.col("rejected")).alias("n_rejected"),
+        F.schema_of_variant_agg("record").alias("kind"),
+    ).first()
+    counts = {c: found[c] for c in ("n_lines", "n_records", "n_rejected")}
     return Records(
         stored.where("not rejected and record is not null").select("record"),
         rejected.select(
             "file_name", "block_start", (F.col("at") - F.col("first")).alias("line_no"), "reason", "text"
         ),
-        merged_schema(found.get["kind"]),
+        merged_schema(found["kind"]),
         counts,
     )
 
