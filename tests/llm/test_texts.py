@@ -84,6 +84,32 @@ def test_classes_match_brute_force(spark):
     assert len(set(want.values())) < 90
 
 
+def test_hot_bands_of_texts_below_the_threshold(spark):
+    rng = random.Random(9)
+    base, second = prose(rng, 300), prose(rng, 300)
+    texts = [copies(rng, base, rng.randint(1, 14)) for _ in range(160)] + [copies(rng, second, 6) for _ in range(60)]
+    mixed = copies(rng, second, 8)  # too far from the original, near to each other
+    texts += [copies(rng, mixed, 2) for _ in range(40)]
+    texts += [" ".join(["again and"] * rng.randint(40, 90)) for _ in range(30)] + [prose(rng, 20000)] * 2
+    docs = list(enumerate(texts))
+    rng.shuffle(docs)
+    want = brute_classes([d for d in docs if len(d[1]) < 50_000])
+    got = bag_minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r["row"]["doc_id"]: r["class_id"] for r in got} == want | {len(docs) - 2: len(docs) - 2, len(docs) - 1: len(docs) - 2}
+    assert 10 < len(set(want.values())) < 250
+
+
+def test_only_pairs_that_may_reach_the_threshold_are_compared(spark):
+    """Many texts that share nine tenths of their shingles with one, and less than eight tenths with each other."""
+    rng = random.Random(10)
+    rows = [(i, [*range(170), *(1000 * i + j for j in range(30))]) for i in range(1, 301)] + [(301, [*range(165), *range(1000, 1035)])]
+    bodies = spark.createDataFrame([(i, rng.sample(g, len(g))) for i, g in rows], "id long, grams array<long>")
+    rare = bag_minhash.rare_grams(bodies, 0.8).withColumn("component", F.col("id"))
+    want = {(a, b) for a, x in rows for b, y in rows[a:] if len({*x} & {*y}) * 1.8 >= 0.8 * (len(x) + len(y)) - 1e-9}
+    met = {tuple(r) for r in bag_minhash.gram_pairs(rare, 0.8).collect()}
+    assert want == {(1, 301)} <= met and len(met) < 10
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = random.Random(2)
     errors = []

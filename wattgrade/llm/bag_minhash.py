@@ -14,16 +14,23 @@ from wattgrade.llm.common import components
 from wattgrade.llm.hashing import BASE, mixed, shingles
 from wattgrade.session import staged
 
-ID_BITS = 44  # of a shingle's hash; the rest of a sort key is the text's number in its batch
 BATCH_BYTES = 1 << 20
+SLACK = 1e-9  # of comparisons of counts with multiples of the threshold
 
 
 def bags(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(number of the text, shingle, times it occurs in the text), sorted."""
     owner, value = shingles(texts, words)
-    key = (owner.astype(np.uint64) << np.uint64(ID_BITS)) | (value >> np.uint64(64 - ID_BITS))
-    key, weight = np.unique(key, return_counts=True)
-    return (key >> np.uint64(ID_BITS)).astype(np.int64), key & np.uint64((1 << ID_BITS) - 1), weight
+    order = np.lexsort((value, owner))
+    owner, value = owner[order].astype(np.int64), value[order]
+    new = np.flatnonzero(np.concatenate([[True], (np.diff(owner) != 0) | (value[1:] != value[:-1])])) if len(owner) else []
+    first = np.asarray(new, np.int64)
+    return owner[first], value[first], np.diff(np.append(first, len(owner)))
+
+
+def last_times(out: np.ndarray, m: int) -> np.ndarray:
+    """Time of each set's latest register, NaN while one is empty: no later point can lower any of them."""
+    return (out.reshape(-1, m).max(axis=1) >> np.uint64(32)).astype(np.uint32).view(np.float32)
 
 
 def throw_points(
@@ -55,6 +62,7 @@ def throw_points(
             under = (place & np.uint64(0xFFFFFFFF)).astype(np.float64) * 2.0**-32 < above[row]
             at, value = at[under], value[under]
         np.minimum.at(out, at, value)
+        limit = np.fmin(limit, last_times(out, m)[first // m])
         alive = np.flatnonzero(time <= limit)
         if len(alive) < len(time):
             first, seed, time, limit = first[alive], seed[alive], time[alive], limit[alive]
@@ -67,7 +75,8 @@ def signatures(owner: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n: in
     The weight axis is cut at 1, 2, 4, 8 and so on. Each piece of a shingle has a Poisson process of points whose rate
     is the piece's length and whose course depends on shingle and piece alone; a point has a time, a register and a
     height. A set keeps the points below its weights, and a register the earliest of them. Points come in order
-    of time up to a horizon that fills the registers of most sets; sets with an empty one get a longer horizon.
+    of time and end at the set's latest register once all are filled, at a horizon before; sets with an empty register
+    then get a longer horizon.
     """
     out = np.full(n * m, np.iinfo(np.uint64).max, np.uint64)
     empty = np.iinfo(np.uint64).max
@@ -84,6 +93,7 @@ def signatures(owner: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n: in
             seed = mixed(shingle[mine] * BASE + np.uint64(piece + 1))
             above = None if low == 0 else (weight[mine] - low) / float(high - low)
             throw_points(out, m, owner[mine] * m, seed, 1.0 / (high - low), horizon[owner[mine]], above)
+            horizon = np.fmin(horizon, last_times(out, m))
             mine = mine[weight[mine] > high]
             low, piece = high, piece + 1
         todo = np.flatnonzero((out.reshape(n, m) == empty).any(axis=1) & (total > 0))
@@ -156,10 +166,76 @@ def multisets(texts: DataFrame, words: int) -> DataFrame:
     return texts.select("id", "text").mapInArrow(run, "id long, grams array<long>")
 
 
-def overlap(a: Column, b: Column) -> Column:
-    """Weighted Jaccard similarity of two multisets: their common part by the whole of both."""
+def reaches(a: Column, b: Column, threshold: float) -> Column:
+    """Whether the weighted Jaccard similarity of two multisets, their common part by the whole of both, is large enough.
+
+    The common part stands in the condition once, since Spark would count it again for each mention.
+    """
     common = F.size(F.array_intersect(a, b))
-    return common / (F.size(a) + F.size(b) - common)
+    return common * (1.0 + threshold) >= (F.size(a) + F.size(b)) * threshold - SLACK
+
+
+def checked(pairs: DataFrame, bodies: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) that share a band and whose multisets are similar enough."""
+    sides = [bodies.select(F.col("id").alias(s), F.col("grams").alias(f"_{s}"), F.col("bands").alias(f"_{s}_bands")) for s in "ab"]
+    both = pairs.join(sides[0], "a").join(sides[1], "b")
+    similar = F.arrays_overlap("_a_bands", "_b_bands") & reaches(F.col("_a"), F.col("_b"), threshold)
+    return both.where(similar).select("a", "b")
+
+
+def rare_grams(bodies: DataFrame, threshold: float) -> DataFrame:
+    """(id, n, gram, at): the rarest grams of each multiset of n, ``at`` counting from 0 in the order of all by frequency.
+
+    Two multisets that reach the threshold have one of these in common, the first that both hold: were it later in
+    one of them, too few would be left after it.
+    """
+    each = bodies.select("id", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
+    often = each.groupBy("gram").agg(F.count("*").alias("often"))
+    # The list of one text has as many entries as the text has shingles.
+    listed = each.join(often, "gram").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("often", "gram"))).alias("all"))
+    first = F.col("n") - F.ceil(F.col("n") * threshold - SLACK).cast("int") + 1
+    rare = listed.select("id", "n", F.posexplode(F.slice("all", 1, first)).alias("at", "rare"))
+    return rare.where("rare.often > 1").select("id", "n", F.col("rare.gram").alias("gram"), "at")
+
+
+def may_reach(x: Column, x_at: Column, y: Column, y_at: Column, threshold: float) -> Column:
+    """Whether multisets of x and y entries, whose first common one is at x_at and y_at, can reach the threshold."""
+    return F.least(x - x_at, y - y_at) >= (x + y) * (threshold / (1.0 + threshold)) - SLACK
+
+
+def gram_stars(rare: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): texts with the smallest text that has one of their rare grams, where they are in different components."""
+    center = rare.groupBy("gram").agg(F.min(F.struct("id", "n", "at", "component")).alias("c"))
+    pairs = rare.join(center, "gram").where(F.col("component") != F.col("c.component"))
+    pairs = pairs.where(may_reach(F.col("n"), F.col("at"), F.col("c.n"), F.col("c.at"), threshold))
+    return pairs.select(F.col("c.id").alias("a"), F.col("id").alias("b")).distinct()
+
+
+def gram_pairs(rare: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): all texts of different components whose first common rare gram lets them reach the threshold.
+
+    The texts of a gram's largest component do not meet each other: they have keys of their own, which only the texts
+    of other components look up. The shorter text of a pair needs even fewer grams than the longer one.
+    """
+    sizes = rare.groupBy("gram", "component").agg(F.count("*").alias("_size"))
+    main = sizes.groupBy("gram").agg(F.max_by("component", F.struct("_size", "component")).alias("main"), F.count("*").alias("_of"))
+    rows = rare.join(main.where("_of > 1").drop("_of"), "gram").withColumn("in_main", F.col("component") == F.col("main"))
+    least = F.ceil(F.col("n") * (2.0 * threshold / (1.0 + threshold)) - SLACK)
+    short = rows.where(F.col("at") <= F.col("n") - least).withColumn("key", F.col("in_main")).drop("main", "in_main")
+    keys = F.when(F.col("in_main"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
+    long_ = rows.withColumn("key", F.explode(keys)).drop("main", "in_main")
+    x, y = short.alias("x"), long_.alias("y")
+    of = lambda c: (F.col(f"x.{c}"), F.col(f"y.{c}"))
+    (xi, yi), (xn, yn), (xa, ya), (xc, yc) = of("id"), of("n"), of("at"), of("component")
+    met = x.join(
+        y,
+        (F.col("x.gram") == F.col("y.gram"))
+        & (F.col("x.key") == F.col("y.key"))
+        & (xc != yc)
+        & ((xn < yn) | ((xn == yn) & (xi < yi)))
+        & may_reach(xn, xa, yn, ya, threshold),
+    )
+    return met.select(F.least(xi, yi).alias("a"), F.greatest(xi, yi).alias("b")).distinct()
 
 
 def classes(
@@ -182,10 +258,10 @@ def classes(
 
     Texts are compared and linked by numbers of their own, so neither null ids nor shared ones link unlike texts.
     Texts sharing a band are first compared with the smallest number of the band, so a large group costs one pair per
-    member and band. Then any two that share a band, are still in different classes and may reach the threshold are
-    compared. The rest cannot reach it, by their numbers of shingles or by the triangle inequality: one minus the
-    similarity is a distance, so two texts differ by at least as much as their distances to the smallest number differ.
-    Only pairs that do reach it leave the join.
+    member and band. Texts of bands whose members are then still in different classes are compared through their rarest
+    shingles: first with the smallest number of such a shingle, then all that have one in common, are still in
+    different classes and, by the places of this shingle, may reach the threshold. Every pair that reaches it has such
+    a shingle, so only pairs that cannot reach it are left out.
 
     Null and empty texts and texts without words have no shingles: they are linked with equal texts only. An empty
     table gives an empty table.
@@ -211,41 +287,26 @@ def classes(
         named.withColumnsRenamed({"key": "_key", "doc": "_doc"}),
         (F.col("key") == F.col("_key")) & F.col("doc").eqNullSafe(F.col("_doc")),
     )
-    bodies = bodies.select(named["id"], "text")
-    bodies = staged(multisets(bodies.distinct(), words), "bag-multisets")
+    bodies = multisets(bodies.select(named["id"], "text").distinct(), words)
+    bodies = staged(bodies.join(texts.select("id", "bands"), "id"), "bag-multisets")
     # Bands of the smallest id with each other member, compared once a pair.
     stars = members.where("id != center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
-    sides = [bodies.select(F.col("id").alias(side), F.col("grams").alias(f"_{side}")) for side in ("a", "b")]
-    stars = stars.join(sides[0], "a").join(sides[1], "b").select("a", "b", overlap(F.col("_a"), F.col("_b")).alias("similarity"))
-    stars = staged(stars, "bag-stars")
-    links = stars.where(F.col("similarity") >= threshold).select("a", "b")
+    links = staged(checked(stars, bodies, threshold), "bag-stars")
     joined = staged(components(links, "a", "b"), "bag-components")
 
-    placed = members.join(joined.withColumnRenamed("node", "id"), "id", "left")
-    placed = placed.select("band", "center", "id", "n", F.coalesce("component", "id").alias("component"))
+    placed = members.select("band", "id").join(joined.withColumnRenamed("node", "id"), "id", "left")
+    placed = placed.select("band", "id", F.coalesce("component", "id").alias("component"))
     several = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_ = placed.join(several.where("low != high").select("band"), "band").where("id != center")
-    known = stars.select(F.col("a").alias("center"), F.col("b").alias("id"), "similarity")
-    open_ = open_.join(known, ["center", "id"]).join(texts.select("id", "bands"), "id").join(bodies, "id")
-    open_ = staged(open_.where(F.array_contains("bands", F.col("band"))), "bag-open")
-    # Little data but many pairs: the number of partitions is set, so small ones are not put together.
-    dealt = open_.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "band")
-    x, y = dealt.alias("x"), dealt.alias("y")
-    of = lambda c: (F.col(f"x.{c}"), F.col(f"y.{c}"))
-    (xn, yn), (xs, ys), (xb, yb), (xg, yg) = of("n"), of("similarity"), of("bands"), of("grams")
-    last = x.join(
-        y,
-        (F.col("x.band") == F.col("y.band"))
-        & (F.col("x.id") < F.col("y.id"))
-        & (F.col("x.component") != F.col("y.component"))
-        & (F.least(xn, yn) >= F.greatest(xn, yn) * threshold)
-        & (F.abs(xs - ys) <= 1.0 - threshold + 1e-9)
-        & (F.array_min(F.array_intersect(xb, yb)) == F.col("x.band"))  # a pair in its first common band only
-        & (overlap(xg, yg) >= threshold),
-    )
-    last = staged(last.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), "bag-links")
-    if not last.isEmpty():
-        joined = staged(components(links.unionByName(last), "a", "b"), "bag-components")
+    open_ = placed.join(several.where("low != high").select("band"), "band").select("id").distinct()
+    open_ = staged(bodies.join(open_, "id"), "bag-open")
+    rare = staged(rare_grams(open_.drop("bands"), threshold), "bag-rare-grams")
+    for found in (gram_stars, gram_pairs):
+        placed = rare.join(joined.withColumnRenamed("node", "id"), "id", "left")
+        placed = placed.withColumn("component", F.coalesce("component", "id"))
+        more = staged(checked(staged(found(placed, threshold), "bag-pairs"), open_, threshold), "bag-links")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            joined = staged(components(links, "a", "b"), "bag-components")
     named = joined.withColumnRenamed("node", "id").join(texts.select("id", "doc", "key"), "id")
     first = F.min(F.struct(F.col("doc").isNull(), "doc", "key"))
     chosen = named.groupBy("component").agg(first.alias("first"))
