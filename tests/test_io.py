@@ -4,13 +4,13 @@ import json
 import os
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.helpers import rows
 from wattgrade.operators import shaping
-from wattgrade.sources import messages, readers, writers
+from wattgrade.sources import messages, readers, versions, writers
 from wattgrade.sources.schemas import envelope_schema, text_schema
 
 AB = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
@@ -122,3 +122,25 @@ def test_topic_options_need_the_connector_only_when_used(spark, tmp_path):
     assert messages.send_stream(feed, "broker:9092", "records", f"{tmp_path}/check")
     with pytest.raises(AnalysisException, match="(?i)kafka"):
         messages.topic_stream(spark, "broker:9092", "records", per_trigger=1000)
+
+
+def test_readers_see_whole_versions(spark, tmp_path):
+    path = str(tmp_path / "table")
+    assert versions.versions(spark, path).count() == 0 and versions.current_path(spark, path) == path
+    versions.publish(spark.range(5), path)
+    held = versions.read_current(spark, path)
+    with pytest.raises(PySparkException, match="broken off"):
+        broken = F.when(F.col("id") == 7, F.raise_error(F.lit("broken off")).cast("long")).otherwise(F.col("id"))
+        versions.publish(spark.range(9).select(broken.alias("id")), path)
+    assert versions.read_current(spark, path).count() == 5 and versions.versions(spark, path).count() == 1
+    folder = versions.publish(spark.range(12).withColumn("part", F.col("id") % 2), path, ["part"])
+    assert versions.current_path(spark, path) == f"{path}/{folder}"
+    assert held.count() == 5 and versions.read_current(spark, path).agg(F.sum("id")).first()[0] == 66
+    numbers = [r["number"] for r in versions.versions(spark, path).collect()]
+    assert len(numbers) == len(set(numbers)) == 2
+
+
+def test_an_empty_version_is_read_as_no_rows(spark, tmp_path):
+    empty = versions.publish(spark.range(0), str(tmp_path / "t"))
+    assert versions.current_path(spark, str(tmp_path / "t")).endswith(empty)
+    assert versions.read_current(spark, str(tmp_path / "t")).count() == 0

@@ -10,7 +10,7 @@ from wattgrade.__main__ import parser
 from wattgrade.operators import models
 from wattgrade.plans import medallion
 from wattgrade.roles import ACCENTED_NAMES, MODEL_ROLES
-from wattgrade.sources import readers
+from wattgrade.sources import readers, versions
 from wattgrade.sources.schemas import SNAKE_RECORD
 
 SMALL = models.TreeSize(trees=3, depth=3)
@@ -54,6 +54,13 @@ def test_class_analysis(spark, tmp_path):
     assert len(readers.read_dataset(spark, f"{gold}/predictions_classes").columns) == 4
     assert models.load_model(f"{gold}/model_rf")
 
+    versioned = f"{tmp_path}/versioned"
+    for _ in range(2):
+        medallion.write_class_silver(spark, f"{tmp_path}/bronze", versioned, versioned=True)
+    assert versions.versions(spark, versioned).count() == 2
+    names = [c for c in clean.columns if c != "_silver_timestamp"]
+    assert rows(versions.read_current(spark, versioned).select(names)) == rows(clean.select(names))
+
 
 def test_snake_layout_gives_the_same_silver(spark):
     df = spark.createDataFrame(

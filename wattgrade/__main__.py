@@ -25,6 +25,8 @@ def parser() -> argparse.ArgumentParser:
             command.add_argument(f"--{name}", required=True)
         if job in ("class-silver", "dataset-silver"):
             command.add_argument("--rejected", help="where to keep lines that are no record")
+        if job == "class-silver":
+            command.add_argument("--versioned", action="store_true", help="readers keep the old table until the new one is whole")
     return root
 
 
@@ -32,7 +34,7 @@ def main() -> None:
     args = parser().parse_args()
     spark = build_session(f"wattgrade-{args.job}")
     if args.job == "class-silver":
-        print(medallion.write_class_silver(spark, args.bronze, args.silver, args.rejected))
+        print(medallion.write_class_silver(spark, args.bronze, args.silver, args.rejected, args.versioned))
     elif args.job == "class-gold":
         medallion.write_class_gold(spark, args.silver, args.gold).show()
     elif args.job == "dataset-silver":

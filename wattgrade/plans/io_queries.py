@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,7 +11,7 @@ from wattgrade.plans.medallion import class_silver, dataset_rows
 from wattgrade.plans.clean_queries import class_rows
 from wattgrade.plans.registry import query
 from wattgrade.session import work_path
-from wattgrade.sources import messages, readers, records, writers
+from wattgrade.sources import messages, readers, records, versions, writers
 from wattgrade.streaming import accounts, ingest
 
 
@@ -120,6 +121,31 @@ def silver_rerun(spark, sf_dir):
     return readers.read_dataset(spark, path, rows.schema)
 
 
+@query(
+    "silver_switch",
+    f"""with {DIAG} select diag_id, intensity, grade, step from diag
+        cross join (values ('first'), ('failed'), ('kept')) as steps(step)
+        union all select diag_id, -intensity, grade, 'second' from diag where grade <> 'G'""",
+)
+def silver_switch(spark, sf_dir):
+    """What readers see: after the first write, after one that fails on its way, after a second one, and what the
+    reader of the first still holds then."""
+    rows = diagnostics(spark, sf_dir, "diag_id", "intensity", "grade")
+    path = work_path(spark, "switched")
+    seen = lambda step: versions.read_current(spark, path, rows.schema).withColumn("step", F.lit(step))
+    versions.publish(rows, path, ["grade"])
+    first, kept = seen("first"), seen("kept")
+    try:
+        broken = F.when(F.col("grade") == "G", F.raise_error(F.lit("broken off")).cast("double")).otherwise(0.0)
+        versions.publish(rows.withColumn("intensity", broken), path, ["grade"])
+    except PySparkException as e:
+        if "broken off" not in str(e):
+            raise
+    failed = seen("failed")
+    versions.publish(rows.where("grade <> 'G'").withColumn("intensity", -F.col("intensity")), path, ["grade"])
+    return first.unionByName(failed).unionByName(seen("second")).unionByName(kept)
+
+
 @query("partition_pruning", f"with {DIAG} select diag_id, grade from diag where grade = 'C'")
 def partition_pruning(spark, sf_dir):
     rows = diagnostics(spark, sf_dir, "diag_id", "grade")

@@ -20,7 +20,7 @@ from wattgrade.roles import (
     SNAKE_NAMES,
 )
 from wattgrade.session import staged
-from wattgrade.sources import messages, readers, records, writers
+from wattgrade.sources import messages, readers, records, versions, writers
 from wattgrade.sources.schemas import CONSUMPTION_DOCUMENT, SNAKE_RECORD
 from wattgrade.streaming import ingest
 
@@ -36,10 +36,12 @@ def class_silver(raw: DataFrame) -> DataFrame:
 
 
 def write_class_silver(
-    spark: SparkSession, bronze: str, silver: str, rejected: str | None = None
+    spark: SparkSession, bronze: str, silver: str, rejected: str | None = None, versioned: bool = False
 ) -> Mapping[str, int]:
     """Class silver of all records, in either layout, enveloped or not; returns the counts of the read.
 
+    ``versioned`` writes a new version beside the old one, which readers see until it is whole.
+
     The columns are text as in the static layouts, null where no record fills them, so the stored schema does not
     depend on the batch.
     """
@@ -48,7 +50,8 @@ def write_class_silver(
     raw = raw.select(
         *[(F.col(c) if shaping.present(raw, [c]) else F.lit(None)).cast("string").alias(c) for c in CLASS_COLUMNS]
     )
-    writers.replace_partitioned(class_silver(raw), silver, [CLASS_ROLES.grade])
+    write = versions.publish if versioned else writers.replace_partitioned
+    write(class_silver(raw), silver, [CLASS_ROLES.grade])
     return keep_rejected(found, rejected)
 
 
@@ -88,7 +91,7 @@ def write_class_gold(
     schema: T.StructType | None = None,
 ) -> DataFrame:
     """Statistics, gain matrix, ladder, forest and its predictions; returns the metrics."""
-    rows = readers.read_dataset(spark, silver, schema)
+    rows = readers.read_dataset(spark, versions.current_path(spark, silver), schema)
     writers.overwrite(stats.class_stats(rows, CLASS_ROLES), f"{gold}/stats_par_classe")
     means = staged(gains.class_means(rows, CLASS_ROLES), "class-means")
     writers.overwrite(gains.gain_matrix(means), f"{gold}/matrice_gains")
