@@ -112,3 +112,28 @@ def test_late_and_forgotten_keys_are_told_apart(spark, out):
     # Behind the watermark, known or not: late. Ahead of it, a key forgotten meanwhile is first again.
     last = deliver((2, 9, "d"), (4, 3, "e"), (1, 11, "f"), (3, 12, "c2"), (5, -1, "none"))
     assert last == [*first, ("c", "False"), ("d", "True"), ("e", "True"), ("f", "False"), ("none", "True")]
+
+
+def test_late_records_are_told_with_the_state_store_that_a_session_has_by_default(spark, out):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    stored = spark.conf.get(name)
+    schema = T.StructType([T.StructField("k", T.TimestampType()), T.StructField("n", T.LongType()), T.StructField("ts", T.TimestampType())])
+
+    def deliver(micros, n, hours):
+        keys = [F.timestamp_micros(F.lit(m).cast("long")) for m in micros]
+        rows_in = spark.range(1).select(F.explode(F.array(*keys)).alias("k"), F.explode(F.array(F.lit(n), F.lit(None))).alias("n"))
+        at = F.to_timestamp(F.lit("2024-01-01 00:00:00")) + F.make_dt_interval(hours=F.lit(hours))
+        rows_in.select("k", F.col("n").cast("long").alias("n"), at.alias("ts")).write.mode("append").parquet(f"{out}/in")
+        feed = ingest.file_feed(spark, f"{out}/in", schema)
+        told = accounts.first_seen_and_late(feed, ["k", "n"], "ts", delay_seconds=3600, buckets=2)
+        ingest.run_to_end(ingest.land(told, f"{out}/out", f"{out}/check", fmt="parquet", by=["late"]))
+        found = spark.read.parquet(f"{out}/out").groupBy(F.col("late").cast("string").alias("late")).count().collect()
+        return {r["late"]: r["count"] for r in found}
+
+    try:
+        spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+        assert deliver([1, 2, 1, 2, None], 5, 0) == {"false": 6}
+        assert deliver([1, 2, 3], 5, 9) == {"false": 8}
+        assert deliver([1], 5, 2) == {"false": 8, "true": 2}
+    finally:
+        spark.conf.set(name, stored)
