@@ -188,3 +188,38 @@ def test_the_same_trees_on_any_number_of_cores():
         out = subprocess.run([sys.executable, "-c", FIT, master, parts], env=env, capture_output=True, text=True, timeout=300)
         found.add(next(line for line in out.stdout.splitlines() if line.startswith("TREES")))
     assert len(found) == 1
+
+
+def test_boosting_on_cells_makes_the_trees_of_the_rows(spark):
+    from wattgrade.operators import cells
+
+    noise = F.pmod(F.xxhash64("id"), F.lit(1000)) / 10
+    df = spark.range(4000).select("id", (F.col("id") % 3).cast("string").alias("g"), (F.floor(F.col("id") / 7) % 20).alias("s"))
+    df = df.withColumn("x", F.col("s") * 3 + F.col("g").cast("double") * 10 + noise)
+    found = cells.cells_of(df, "x", ["g"], ["s"], 32)
+    assert found.count() == 60 and found.agg(F.sum(cells.ROWS)).first()[0] == 4000
+    size = models.TreeSize(trees=4, depth=4, partitions=3)
+    boosted = models.train(df, "x", ["g"], ["s"], [models.BOOSTED], size, keys=["id"])
+    plain = models.GBTRegressor(featuresCol="features", labelCol="x", maxIter=4, maxDepth=4, seed=42)
+    rowwise = plain.fit(boosted.prepared(df))
+    both = rowwise.setPredictionCol("p").transform(models.score(boosted.models[models.BOOSTED], boosted.prepared(df)))
+    assert both.where(F.abs(F.col("p") - F.col("prediction")) > 1e-6).count() == 0
+
+
+def test_bins_and_cells_of_odd_columns(spark):
+    from wattgrade.operators import cells
+
+    odd = F.when(F.col("id") % 2 == 0, 0.0).when(F.col("id") == 1, float("nan")).when(F.col("id") == 3, float("inf"))
+    df = spark.range(2000).select(F.when(F.col("id") != 5, odd.otherwise(F.col("id") - 1000.0)).alias("a b"), F.lit(1.0).alias("x"))
+    values = cells.bin_values(df, "a b", 10)
+    assert 0.0 in values and 9 <= len(values) <= 11 and values == sorted(values) and max(values) > 800 and min(values) < -800
+    found = cells.cells_of(df, "x", [], ["a b"], 12)
+    assert found.agg(F.sum(cells.ROWS)).first()[0] == 2000 and found.where("`a b` is null").first()[cells.ROWS] == 1
+    near = df.select(cells.snapped(F.col("a b"), values).alias("v"), "a b").where("`a b` between -999 and 999")
+    edges = [(a + b) / 2 for a, b in zip(values, values[1:])]
+    assert all(sum(r["v"] > e for e in edges) == sum(r["a b"] > e for e in edges) for r in near.collect())
+    assert cells.bin_values(df.limit(0), "a b", 10) == []
+
+
+def test_large_tables_get_more_partitions():
+    assert [models.partitions_for(n, 16) for n in (0, 8_000_000, 8_000_001, 30_000_000)] == [16, 16, 17, 60]
