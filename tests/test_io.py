@@ -144,3 +144,14 @@ def test_an_empty_version_is_read_as_no_rows(spark, tmp_path):
     empty = versions.publish(spark.range(0), str(tmp_path / "t"))
     assert versions.current_path(spark, str(tmp_path / "t")).endswith(empty)
     assert versions.read_current(spark, str(tmp_path / "t")).count() == 0
+
+
+def test_lines_are_compressed_and_files_bounded(spark, out):
+    from wattgrade.sources import records
+
+    lines = spark.range(0, 2500, 1, 1).select(F.concat(F.lit('{"id": '), F.col("id").cast("string"), F.lit("}")).alias("value"))
+    writers.write_lines(lines, out, per_file=1000)
+    files = readers.list_files(spark, out, "*.txt.gz").collect()
+    assert len(files) == 3 and sum(f["length"] for f in files) < 2500 * 7
+    found = records.read_records(spark, out)
+    assert found.counts == {"n_lines": 2500, "n_records": 2500, "n_rejected": 0}

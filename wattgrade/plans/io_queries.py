@@ -403,7 +403,7 @@ def _mixed_records(spark, sf_dir):
     )
     broken = rows.where("l_orderkey % 50 = 0").select(F.explode(F.array(F.lit("{"), F.lit(""), F.lit("17"))))
     path = work_path(spark, "mixed-records")
-    rows.select(line.alias("value")).union(broken).write.text(path)
+    writers.write_lines(rows.select(line.alias("value")).union(broken), path)
     return records.read_records(spark, path)
 
 

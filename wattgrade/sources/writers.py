@@ -56,6 +56,11 @@ def write_json_lines(df: DataFrame, path: str, per_file: int = 0, by: Sequence[s
     (writer.partitionBy(*by) if by else writer).json(path)
 
 
+def write_lines(df: DataFrame, path: str, per_file: int = 200_000) -> None:
+    """Lines of text, compressed. A compressed file is read by one task, so ``per_file`` bounds its lines."""
+    df.write.mode("overwrite").option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = ";") -> None:
     df.write.mode("overwrite").option("sep", sep).option("header", True).csv(path)
 
