@@ -165,3 +165,18 @@ def test_density_matches_brute_force_and_integrates_to_one(spark):
         expected = [np.exp(-0.5 * ((x - values) / h) ** 2).sum() / (len(values) * h * np.sqrt(2 * np.pi)) for x in grid]
         assert part["density"].to_numpy() == pytest.approx(np.array(expected), abs=1e-9)
         assert part["density"].sum() * 5 == pytest.approx(1, abs=0.01)
+
+
+def test_each_block_of_columns_is_prepared_once(monkeypatch):
+    import numpy as np
+
+    from wattgrade.operators import comoments
+
+    calls = []
+    middle = comoments.middle
+    monkeypatch.setattr(comoments, "middle", lambda *a: calls.append(1) or middle(*a))
+    x = np.array([[1.0, 2.0, np.nan], [3.0, np.nan, 4.0], [5.0, 7.0, 6.0]])
+    blocks = [comoments.deviations(x[:, [i]]) for i in range(3)]
+    figures = {(i, j): comoments.moments_of(blocks[i], blocks[j])[:, 0, 0] for i in range(3) for j in range(i, 3)}
+    assert len(calls) == 3
+    assert figures[0, 1].tolist() == [2.0, 3.0, 4.5, 8.0, 12.5, 10.0] and figures[1, 2].tolist() == [1.0, 7.0, 6.0, 0.0, 0.0, 0.0]

@@ -30,16 +30,22 @@ def middle(values: np.ndarray, has: np.ndarray) -> np.ndarray:
     return np.where(has.any(0), values[at, np.arange(values.shape[1])], 0.0)
 
 
-def moments_of(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """The six figures, each a matrix of columns of x by columns of y; NaN is missing."""
-    has_x, has_y = ~np.isnan(x), ~np.isnan(y)
-    near_x, near_y = middle(x, has_x), middle(y, has_y)
-    dx, dy = np.where(has_x, x - near_x, 0.0), np.where(has_y, y - near_y, 0.0)
-    in_x, in_y = has_x.astype(float), has_y.astype(float)
+def deviations(x: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of a block of columns: the values next to the means, the deviations from them, their squares, and where there are
+    values; NaN is missing. Prepared once for all the pairs that a block is in."""
+    has = ~np.isnan(x)
+    near = middle(x, has)
+    dx = np.where(has, x - near, 0.0)
+    return near, dx, dx * dx, has.astype(float)
+
+
+def moments_of(x: tuple[np.ndarray, ...], y: tuple[np.ndarray, ...]) -> np.ndarray:
+    """The six figures, each a matrix of columns of x by columns of y, both as deviations."""
+    (near_x, dx, xx, in_x), (near_y, dy, yy, in_y) = x, y
     n = in_x.T @ in_y
     some = np.maximum(n, 1)
     sx, sy = dx.T @ in_y, in_x.T @ dy
-    qx, qy = (dx * dx).T @ in_y, in_x.T @ (dy * dy)
+    qx, qy = xx.T @ in_y, in_x.T @ yy
     return np.stack(
         [
             n,
@@ -90,8 +96,9 @@ def co_moments(df: DataFrame, columns: Sequence[str], block: int = BLOCK) -> Dat
             part = batch.column("_part")[0].as_py()
             values = [batch.column(i).cast(pa.float64()).to_numpy(zero_copy_only=False) for i in range(len(columns))]
             rows = np.stack(values, axis=1).astype(float)
+            blocks = [deviations(rows[:, cut]) for cut in cuts]
             for i, j in pairs:
-                now = moments_of(rows[:, cuts[i]], rows[:, cuts[j]])
+                now = moments_of(blocks[i], blocks[j])
                 held[i, j] = merged(held[i, j], now) if (i, j) in held else now
         for (i, j), table in held.items():
             yield _row((i, j, part), table)
