@@ -223,3 +223,29 @@ def test_bins_and_cells_of_odd_columns(spark):
 
 def test_large_tables_get_more_partitions():
     assert [models.partitions_for(n, 16) for n in (0, 8_000_000, 8_000_001, 30_000_000)] == [16, 16, 17, 60]
+
+
+def test_forest_of_a_large_table_learns_from_parts_of_cells(spark, monkeypatch):
+    from wattgrade.operators import cells
+
+    noise = F.pmod(F.xxhash64("id"), F.lit(1000)) / 10
+    df = spark.range(20000).select("id", (F.col("id") % 3).cast("string").alias("g"), (F.floor(F.col("id") / 7) % 20).alias("s"))
+    df = df.withColumn("x", F.col("s") * 3 + F.col("g").cast("double") * 10 + noise)
+    parts = cells.cells_of(df, "x", ["g"], ["s"], 32, 4, ["id"])
+    assert parts.count() == 240 and parts.agg(F.sum(cells.ROWS)).first()[0] == 20000
+    again = cells.cells_of(df.repartition(7), "x", ["g"], ["s"], 32, 4, ["id"])
+    assert rows(parts) == rows(again)
+    seen = []
+    kept = models.laid_out
+    monkeypatch.setattr(models, "laid_out", lambda learned, *rest: seen.append(learned.count()) or kept(learned, *rest))
+    size = models.TreeSize(trees=10, depth=4, partitions=3)
+    single = models.train(df, "x", ["g"], ["s"], [models.FOREST], size, keys=["id"])
+    monkeypatch.setattr(models, "SINGLE_ROWS", 1000)
+    dealt = models.train(df, "x", ["g"], ["s"], [models.FOREST], size, keys=["id"])
+    assert seen[0] == 20000 and seen[1] <= 60 * models.CELL_DRAWS
+    error = {}
+    for name, both in (("single", single), ("dealt", dealt)):
+        scored = models.score(both.whole(models.FOREST), df)
+        found = models.metrics_by_model(scored, "x", {name: "prediction"}).collect()
+        error[name] = found[0]["value"]
+    assert error["dealt"] < 1.05 * error["single"]
