@@ -225,6 +225,40 @@ def test_index_finds_the_earliest_owner():
     assert suffix_dedup.earliest(pieces, owners, 8).tolist() == want
 
 
+def test_index_holds_windows_that_may_be_shared(monkeypatch):
+    rng = random.Random(2)
+    word = lambda n: "".join(rng.choice("abcdefgh \0") for _ in range(n)).encode()
+    both = word(60)
+    pieces = [word(299) + bytes([65 + i]) + both + bytes([65 + i]) + word(299) for i in range(40)]
+    sizes = []
+    kept = suffix_dedup.same_prefix_classes
+    monkeypatch.setattr(suffix_dedup, "same_prefix_classes", lambda d, o, n: sizes.append(len(d)) or kept(d, o, n))
+    found = suffix_dedup.earliest(pieces, np.arange(40)[::-1], 50).reshape(40, -1)
+    assert sizes == [40 * 61]  # the common passage of each piece and the symbol that ends it, not 660 bytes
+    assert (found[:, 300:311] == 0).all() and (found[:, :300] == np.arange(40)[::-1, None]).all()
+    assert suffix_dedup.earliest(pieces[:1], np.array([7]), 50).tolist() == [7] * 611
+    assert len(sizes) == 1
+
+
+def test_suffixes_are_sorted_in_two_and_three_parts():
+    rng = np.random.default_rng(4)
+    for n in (1 << 21) + 7, 5000:  # ranks of the larger one fill two parts of a key
+        symbols = np.concatenate([rng.integers(97, 99, n - 2 * (n // 4)).astype(np.uint8), np.tile(rng.integers(97, 123, n // 4).astype(np.uint8), 2)])
+        order = suffix_dedup.sorted_suffixes(symbols, 50)
+        assert (np.sort(order) == np.arange(n)).all()
+        raw = symbols.tobytes()
+        some = order[: 20000 : 7].tolist()
+        assert all(raw[a : a + 50] <= raw[b : b + 50] for a, b in zip(some, some[1:]))
+
+
+def test_window_hashes_are_range_hashes():
+    from wattgrade.llm.hashing import prefix_hashes, range_hashes, window_hashes
+
+    prefix = prefix_hashes(np.random.default_rng(5).integers(0, 256, 999).astype(np.uint8))
+    at = np.arange(980)
+    assert (window_hashes(prefix, 20) == range_hashes(prefix, at, at + 20)).all()
+
+
 # --- SentencePiece
 
 
