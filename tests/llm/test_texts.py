@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -251,6 +252,27 @@ def test_suffixes_are_sorted_in_two_and_three_parts():
         assert all(raw[a : a + 50] <= raw[b : b + 50] for a, b in zip(some, some[1:]))
 
 
+def test_texts_are_worked_on_in_small_parts(spark):
+    from wattgrade.llm.common import slices
+
+    batch = pa.record_batch([pa.array(range(1200))], ["a"])
+    parts = list(slices(iter([batch, batch.slice(0, 0), batch.slice(1100)])))
+    assert [p.num_rows for p in parts] == [512, 512, 176, 100]
+    assert [v for p in parts for v in p.column(0).to_pylist()] == [*range(1200), *range(1100, 1200)]
+    before = spark.conf.get(corpus_pipeline.BATCH)
+    with corpus_pipeline.small_batches(spark):
+        assert int(spark.conf.get(corpus_pipeline.BATCH)) <= corpus_pipeline.BATCH_ROWS
+    assert spark.conf.get(corpus_pipeline.BATCH) == before
+
+
+def test_anchors_do_not_depend_on_parts(monkeypatch):
+    text = np.random.default_rng(6).integers(97, 101, 5000).astype(np.uint8)
+    ends, usable = np.array([1200, 1200, 5000]), np.ones(3, bool)
+    whole = suffix_dedup.anchors(text, ends, usable, 50)
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", 333)
+    assert all((a == b).all() for a, b in zip(whole, suffix_dedup.anchors(text, ends, usable, 50), strict=True))
+
+
 def test_window_hashes_are_range_hashes():
     from wattgrade.llm.hashing import prefix_hashes, range_hashes, window_hashes
 

@@ -10,11 +10,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattgrade.llm.common import components
+from wattgrade.llm.common import components, slices
 from wattgrade.llm.hashing import BASE, mixed, shingles
 from wattgrade.session import staged
 
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18
 SLACK = 1e-9  # of comparisons of counts with multiples of the threshold
 
 
@@ -127,24 +127,22 @@ def signed(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
     """(id, key, n, bands): id, key of the text, number of shingles, keys of the bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                texts = [t.encode() for t in part.column(2).to_pylist()]
-                for low, high in batches_of(texts):
-                    owner, shingle, weight = bags(texts[low:high], words)
-                    sizes = np.bincount(owner, weights=weight, minlength=high - low).astype(np.int64)
-                    keys = band_keys(signatures(owner, shingle, weight, high - low, bands * rows), rows)
-                    lists = [k.tolist() if s else [] for k, s in zip(keys, sizes, strict=True)]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            part.column(0).slice(low, high - low),
-                            part.column(1).slice(low, high - low),
-                            pa.array(sizes),
-                            pa.array(lists, pa.list_(pa.int64())),
-                        ],
-                        ["id", "key", "n", "bands"],
-                    )
+        for part in slices(batches):
+            texts = [t.encode() for t in part.column(2).to_pylist()]
+            for low, high in batches_of(texts):
+                owner, shingle, weight = bags(texts[low:high], words)
+                sizes = np.bincount(owner, weights=weight, minlength=high - low).astype(np.int64)
+                keys = band_keys(signatures(owner, shingle, weight, high - low, bands * rows), rows)
+                lists = [k.tolist() if s else [] for k, s in zip(keys, sizes, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0).slice(low, high - low),
+                        part.column(1).slice(low, high - low),
+                        pa.array(sizes),
+                        pa.array(lists, pa.list_(pa.int64())),
+                    ],
+                    ["id", "key", "n", "bands"],
+                )
 
     return docs.select("id", "key", "text").mapInArrow(run, "id long, key string, n long, bands array<long>")
 
@@ -153,7 +151,7 @@ def multisets(texts: DataFrame, words: int) -> DataFrame:
     """(id, grams): the multiset of a text's shingles as a set of hashes of a shingle and the how-manieth it is."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             bodies = [t.encode() for t in batch.column(1).to_pylist()]
             for low, high in batches_of(bodies):
                 owner, shingle, weight = bags(bodies[low:high], words)

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from wattgrade.llm.common import slices
 from wattgrade.llm.hashing import shingles
 from wattgrade.session import staged
 
@@ -271,10 +272,10 @@ def word_rows(texts: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part in slices(batches):
             clean: Counter[str] = Counter()
             words, marks = [], []
-            for value, label in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+            for value, label in zip(part.column(0), part.column(1).to_pylist(), strict=True):
                 body = value.as_py()
                 held = {w.lower() for w in _words.findall(body)} | {""}
                 if label == 0:
@@ -365,13 +366,13 @@ def described(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(lexicon)  # ends with the task
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
+        for part in slices(batches):
+            texts = part.column(0).to_pylist()
             found = [[dict(zip(HIT.names, hit, strict=True)) for hit in scorer.described(t)] for t in texts]
             spaces = [t.count(" ") if t else 0 for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array(spaces, pa.int64()), pa.array(found, pa.list_(HIT))],
-                [*batch.schema.names[1:], "spaces", "hits"],
+                [*part.columns[1:], pa.array(spaces, pa.int64()), pa.array(found, pa.list_(HIT))],
+                [*part.schema.names[1:], "spaces", "hits"],
             )
 
     return rows.mapInArrow(run, schema)
