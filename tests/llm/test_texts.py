@@ -111,6 +111,28 @@ def test_only_pairs_that_may_reach_the_threshold_are_compared(spark):
     assert want == {(1, 301)} <= met and len(met) < 10
 
 
+def test_hot_shingles_of_unlike_texts(spark):
+    """Texts that have most of their shingles in common with all others, and less than eight tenths."""
+    rng = random.Random(13)
+    rows = [(i, rng.sample(range(200), 150)) for i in range(1, 201)]
+    rows += [(201 + i, [*rows[i][1][:-4], *range(1000 + 4 * i, 1004 + 4 * i)]) for i in range(3)]
+    hashed = {g: rng.getrandbits(63) for _, grams in rows for g in grams}
+    grams = [np.array([hashed[g] for g in held], np.int64) for _, held in rows]
+    odd = bag_minhash.parities(np.repeat(np.arange(len(rows)), [len(g) for g in grams]), np.concatenate(grams), len(rows))
+    held = [(i, g.tolist(), o.tolist(), i) for (i, _), g, o in zip(rows, grams, odd, strict=True)]
+    bodies = spark.createDataFrame(held, "id long, grams array<long>, odd array<long>, component long")
+    rare = bag_minhash.rare_grams(bodies, 0.8).join(bodies.select("id", "odd", "component"), "id")
+    want = {(a, b) for a, x in rows for b, y in rows[a:] if len({*x} & {*y}) * 1.8 >= 0.8 * (len(x) + len(y)) - 1e-9}
+    met = {tuple(r) for r in bag_minhash.gram_pairs(rare, 0.8).collect()}
+    assert {(1, 201), (2, 202), (3, 203)} <= want <= met and len(met) < 100
+
+
+def test_texts_of_a_hot_shingle_meet_in_groups_first(spark):
+    rows = spark.range(3000).selectExpr("id", "100 as n", "7L as gram", "0 as at", "id as component")
+    met = bag_minhash.gram_groups(rows, 0.8).collect()
+    assert 1000 < len(met) < 3000 * bag_minhash.MEETING
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = random.Random(2)
     errors = []

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +18,8 @@ from wattgrade.session import staged
 
 BATCH_BYTES = 1 << 18
 SLACK = 1e-9  # of comparisons of counts with multiples of the threshold
+BITS = 512  # of the parities of a multiset
+MEETING = 16  # texts of a shingle that meet before all do
 
 
 def bags(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -147,8 +151,16 @@ def signed(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
     return docs.select("id", "key", "text").mapInArrow(run, "id long, key string, n long, bands array<long>")
 
 
+def parities(owner: np.ndarray, grams: np.ndarray, n: int) -> np.ndarray:
+    """(n x BITS / 64) longs: for each of BITS classes of grams whether a text has an odd number of them."""
+    at = owner.astype(np.int64) * BITS + (grams.view(np.uint64) % np.uint64(BITS)).astype(np.int64)
+    odd = (np.bincount(at, minlength=n * BITS) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(n, BITS), axis=1).view(np.int64)
+
+
 def multisets(texts: DataFrame, words: int) -> DataFrame:
-    """(id, grams): the multiset of a text's shingles as a set of hashes of a shingle and the how-manieth it is."""
+    """(id, grams, odd): the multiset of a text's shingles as a set of hashes of a shingle and the how-manieth it is, and
+    its ``parities``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -159,9 +171,10 @@ def multisets(texts: DataFrame, words: int) -> DataFrame:
                 grams = mixed(np.repeat(shingle, weight) * BASE + which.astype(np.uint64)).view(np.int64)
                 ends = np.cumsum(np.bincount(owner, weights=weight, minlength=high - low).astype(np.int64))
                 lists = pa.LargeListArray.from_arrays(np.concatenate([[0], ends]), grams).cast(pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), lists], ["id", "grams"])
+                odd = pa.array(list(parities(np.repeat(owner, weight), grams, high - low)), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), lists, odd], ["id", "grams", "odd"])
 
-    return texts.select("id", "text").mapInArrow(run, "id long, grams array<long>")
+    return texts.select("id", "text").mapInArrow(run, "id long, grams array<long>, odd array<long>")
 
 
 def reaches(a: Column, b: Column, threshold: float) -> Column:
@@ -201,12 +214,35 @@ def may_reach(x: Column, x_at: Column, y: Column, y_at: Column, threshold: float
     return F.least(x - x_at, y - y_at) >= (x + y) * (threshold / (1.0 + threshold)) - SLACK
 
 
-def gram_stars(rare: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): texts with the smallest text that has one of their rare grams, where they are in different components."""
-    center = rare.groupBy("gram").agg(F.min(F.struct("id", "n", "at", "component")).alias("c"))
-    pairs = rare.join(center, "gram").where(F.col("component") != F.col("c.component"))
-    pairs = pairs.where(may_reach(F.col("n"), F.col("at"), F.col("c.n"), F.col("c.at"), threshold))
-    return pairs.select(F.col("c.id").alias("a"), F.col("id").alias("b")).distinct()
+def unlike(x: Column, y: Column) -> Column:
+    """Classes of grams of which two multisets have odd and even numbers: at least so many grams are in one of them only."""
+    words = [F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(BITS // 64)]
+    return reduce(add, words)
+
+
+def meeting(x: DataFrame, y: DataFrame, place: str, threshold: float) -> DataFrame:
+    """(a, b): texts of x and y, the shorter one in x, of different components that a rare gram and ``place`` bring together
+    and that may reach the threshold, by the places of the gram and, where there are any, by their parities."""
+    odd = "odd" in x.columns
+    x, y = x.alias("x"), y.alias("y")
+    of = lambda c: (F.col(f"x.{c}"), F.col(f"y.{c}"))
+    (xi, yi), (xn, yn), (xa, ya), (xc, yc) = of("id"), of("n"), of("at"), of("component")
+    same = (F.col("x.gram") == F.col("y.gram")) & (F.col(f"x.{place}") == F.col(f"y.{place}"))
+    may = may_reach(xn, xa, yn, ya, threshold)
+    if odd:
+        # Twice the common part is the whole of both less what only one of them has.
+        may = may & ((xn + yn - unlike(*of("odd"))) * (1.0 + threshold) >= (xn + yn) * (2.0 * threshold) - SLACK)
+    met = x.join(y, same & (xc != yc) & ((xn < yn) | ((xn == yn) & (xi < yi))) & may)
+    return met.select(F.least(xi, yi).alias("a"), F.greatest(xi, yi).alias("b")).distinct()
+
+
+def gram_groups(rare: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): as ``gram_pairs``, but the texts of a gram are dealt into groups of about ``MEETING``, which grow in number
+    with them, and only those of a group meet."""
+    sizes = rare.groupBy("gram").agg(F.count("*").alias("_of")).where("_of > 1")
+    group = F.pmod(F.xxhash64("id", "gram"), F.ceil(F.col("_of") / MEETING))
+    rows = rare.join(sizes, "gram").withColumn("group", group).drop("_of")
+    return meeting(rows, rows, "group", threshold)
 
 
 def gram_pairs(rare: DataFrame, threshold: float) -> DataFrame:
@@ -222,18 +258,7 @@ def gram_pairs(rare: DataFrame, threshold: float) -> DataFrame:
     short = rows.where(F.col("at") <= F.col("n") - least).withColumn("key", F.col("in_main")).drop("main", "in_main")
     keys = F.when(F.col("in_main"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
     long_ = rows.withColumn("key", F.explode(keys)).drop("main", "in_main")
-    x, y = short.alias("x"), long_.alias("y")
-    of = lambda c: (F.col(f"x.{c}"), F.col(f"y.{c}"))
-    (xi, yi), (xn, yn), (xa, ya), (xc, yc) = of("id"), of("n"), of("at"), of("component")
-    met = x.join(
-        y,
-        (F.col("x.gram") == F.col("y.gram"))
-        & (F.col("x.key") == F.col("y.key"))
-        & (xc != yc)
-        & ((xn < yn) | ((xn == yn) & (xi < yi)))
-        & may_reach(xn, xa, yn, ya, threshold),
-    )
-    return met.select(F.least(xi, yi).alias("a"), F.greatest(xi, yi).alias("b")).distinct()
+    return meeting(short, long_, "key", threshold)
 
 
 def classes(
@@ -257,9 +282,10 @@ def classes(
     Texts are compared and linked by numbers of their own, so neither null ids nor shared ones link unlike texts.
     Texts sharing a band are first compared with the smallest number of the band, so a large group costs one pair per
     member and band. Texts of bands whose members are then still in different classes are compared through their rarest
-    shingles: first with the smallest number of such a shingle, then all that have one in common, are still in
-    different classes and, by the places of this shingle, may reach the threshold. Every pair that reaches it has such
-    a shingle, so only pairs that cannot reach it are left out.
+    shingles: first in small groups of those that have one in common, so that most near copies are in one class, then all
+    that have one in common, are still in different classes and, by the places of this shingle and the parities of
+    both texts, may reach the threshold. Every pair that reaches it has such a shingle, so only pairs that cannot reach
+    it are left out.
 
     Null and empty texts and texts without words have no shingles: they are linked with equal texts only. An empty
     table gives an empty table.
@@ -298,9 +324,9 @@ def classes(
     open_ = placed.join(several.where("low != high").select("band"), "band").select("id").distinct()
     open_ = staged(bodies.join(open_, "id"), "bag-open")
     rare = staged(rare_grams(open_.drop("bands"), threshold), "bag-rare-grams")
-    for found in (gram_stars, gram_pairs):
-        placed = rare.join(joined.withColumnRenamed("node", "id"), "id", "left")
-        placed = placed.withColumn("component", F.coalesce("component", "id"))
+    for found in (gram_groups, gram_pairs):
+        placed = open_.select("id", "odd").join(joined.withColumnRenamed("node", "id"), "id", "left")
+        placed = rare.join(placed.withColumn("component", F.coalesce("component", "id")), "id")
         more = staged(checked(staged(found(placed, threshold), "bag-pairs"), open_, threshold), "bag-links")
         if not more.isEmpty():
             links = links.unionByName(more)
