@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from wattgrade.llm import bag_minhash, language_id, queries, sentencepiece_bpe, suffix_dedup, toxicity
+from wattgrade.session import staged
 
 SMALL = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -560,3 +561,14 @@ def test_toxic_rows_go_alone(spark, tmp_path):
     assert left.schema == docs.schema
     got = {(r["doc_id"], r["text"]) for r in left.collect()}
     assert got == {r[:2] for r in rows if r[0] % 4} | {o for o in odd if o[1] != toxic}
+
+
+def test_toxicity_writes_no_texts(spark, tmp_path, monkeypatch):
+    rows = [(i, f"item {i}: you are an idiot" if i % 4 == 0 else f"a calm text {i}", "en", "s", 9) for i in range(80)]
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(80)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    written = []
+    monkeypatch.setattr(queries, "staged", lambda df, name: written.append(df.columns) or staged(df, name))
+    left = corpus_pipeline.drop_toxic(spark, spark.createDataFrame(rows * 2, DOCS), str(tmp_path))
+    assert left.count() == 120
+    assert written and not {"row", "text"} & {c for columns in written for c in columns}
