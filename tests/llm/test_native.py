@@ -1,12 +1,14 @@
+import random
 from collections import defaultdict
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from wattgrade.llm import mixing, sharding, url_filter
-from wattgrade.llm.common import components
+from wattgrade.llm import common, mixing, sharding, url_filter
+from wattgrade.llm.common import components, merged
 from wattgrade.llm.queries import OP3_SQL, op3_source_mix
+from wattgrade.session import staged
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -136,6 +138,28 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
 
 
+def test_components_end_without_a_round_that_changes_nothing(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(common, "staged", lambda df, name: written.append(name) or staged(df, name))
+    stars = [(10 * i, 10 * i + j) for i in range(1, 6) for j in range(1, 9)]
+    got = components(spark.createDataFrame(stars, "a long, b long"), "a", "b").collect()
+    assert {r["node"]: r["component"] for r in got} == {n: n // 10 * 10 for s in stars for n in s}
+    assert written == ["edges", "large-star", "small-star"]
+
+
+def test_merged_components_are_those_of_all_edges(spark):
+    rng = random.Random(5)
+    edges = [(rng.randint(0, 150), rng.randint(0, 150)) for _ in range(110)]
+    further = [(rng.randint(0, 180), rng.randint(0, 180)) for _ in range(25)] + [(None, 3), (400, None), (500, 500), (700, 701)]
+    old, new = (spark.createDataFrame(e, "a long, b long") for e in (edges, further))
+    pairs = lambda df: sorted(tuple(r) for r in df.select("node", "component").collect())
+    got = pairs(merged(staged(components(old, "a", "b"), "old"), new, "a", "b"))
+    assert got == pairs(components(old.unionByName(new), "a", "b")) and len({c for _, c in got}) > 3
+    none = old.limit(0)
+    assert pairs(merged(components(old, "a", "b"), none, "a", "b")) == pairs(components(old, "a", "b"))
+    assert pairs(merged(components(none, "a", "b"), new, "a", "b")) == pairs(components(new, "a", "b"))
+
+
 URLS = [
     ("http://a.com/x", "a.com", "/x", "com/", "allow"),
     ("https://EXAMPLE.com/en/1?q=/x", "example.com", "/en/1", "example.com/en/", "block"),

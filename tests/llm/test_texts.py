@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -134,6 +135,31 @@ def test_texts_of_a_hot_shingle_meet_in_groups_first(spark):
     assert 1000 < len(met) < 3000 * bag_minhash.MEETING
 
 
+def test_no_query_of_the_classes_joins_many_tables(spark, monkeypatch):
+    """Each join of a small table is a broadcast that the driver holds, all those of one query at the same time."""
+    joins = {}
+
+    def counted(df, name):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        joins[name] = max(joins.get(name, 0), len(re.findall(r"^\W*Join ", plan, re.M)))
+        return staged(df, name)
+
+    monkeypatch.setattr(bag_minhash, "staged", counted)
+    rng = random.Random(3)
+    base = prose(rng, 120)
+    docs = [(i, copies(rng, base, rng.randint(1, 9))) for i in range(40)]
+    got = bag_minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r["row"]["doc_id"]: r["class_id"] for r in got} == brute_classes(docs)
+    assert {"bag-pairs", "bag-links"} <= {*joins} and max(joins.values()) <= 7
+
+
+def test_grams_of_one_component_are_left_out(spark):
+    rare = spark.createDataFrame([(i, 9, g, 0) for i, g in [(1, 5), (2, 5), (3, 5), (1, 6), (4, 6), (4, 7)]], "id long, n int, gram long, at int")
+    placed = spark.createDataFrame([(1, 1), (2, 1), (3, 1), (4, 4)], "id long, component long")
+    got = sorted((r["id"], r["gram"], r["component"]) for r in bag_minhash.apart(rare, placed).collect())
+    assert got == [(1, 6, 1), (4, 6, 4)]
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = random.Random(2)
     errors = []

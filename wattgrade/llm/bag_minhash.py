@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattgrade.llm.common import components, slices
+from wattgrade.llm.common import components, merged, slices
 from wattgrade.llm.hashing import BASE, mixed, shingles
 from wattgrade.session import staged
 
@@ -236,6 +236,13 @@ def meeting(x: DataFrame, y: DataFrame, place: str, threshold: float) -> DataFra
     return met.select(F.least(xi, yi).alias("a"), F.greatest(xi, yi).alias("b")).distinct()
 
 
+def apart(rare: DataFrame, placed: DataFrame) -> DataFrame:
+    """The rare grams with their texts' components, without the grams of which all texts are in one component."""
+    rows = rare.join(placed, "id")
+    several = rows.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return rows.join(several.where("low != high").select("gram"), "gram")
+
+
 def gram_groups(rare: DataFrame, threshold: float) -> DataFrame:
     """(a, b): as ``gram_pairs``, but the texts of a gram are dealt into groups of about ``MEETING``, which grow in number
     with them, and only those of a group meet."""
@@ -324,13 +331,16 @@ def classes(
     open_ = placed.join(several.where("low != high").select("band"), "band").select("id").distinct()
     open_ = staged(bodies.join(open_, "id"), "bag-open")
     rare = staged(rare_grams(open_.drop("bands"), threshold), "bag-rare-grams")
+    rows = None
     for found in (gram_groups, gram_pairs):
-        placed = open_.select("id", "odd").join(joined.withColumnRenamed("node", "id"), "id", "left")
-        placed = rare.join(placed.withColumn("component", F.coalesce("component", "id")), "id")
-        more = staged(checked(staged(found(placed, threshold), "bag-pairs"), open_, threshold), "bag-links")
+        # Written once, since a plan that joins all this for each of its sides has a driver hold many small tables at once.
+        if rows is None:
+            placed = open_.select("id").join(joined.withColumnRenamed("node", "id"), "id", "left")
+            rows = staged(apart(rare, placed.withColumn("component", F.coalesce("component", "id"))), "bag-apart")
+        pairs = found(rows.join(open_.select("id", "odd"), "id"), threshold)
+        more = staged(checked(staged(pairs, "bag-pairs"), open_, threshold), "bag-links")
         if not more.isEmpty():
-            links = links.unionByName(more)
-            joined = staged(components(links, "a", "b"), "bag-components")
+            joined, rows = staged(merged(joined, more, "a", "b"), "bag-components"), None
     named = joined.withColumnRenamed("node", "id").join(texts.select("id", "doc", "key"), "id")
     first = F.min(F.struct(F.col("doc").isNull(), "doc", "key"))
     chosen = named.groupBy("component").agg(first.alias("first"))
