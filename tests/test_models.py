@@ -249,3 +249,15 @@ def test_forest_of_a_large_table_learns_from_parts_of_cells(spark, monkeypatch):
         found = models.metrics_by_model(scored, "x", {name: "prediction"}).collect()
         error[name] = found[0]["value"]
     assert error["dealt"] < 1.05 * error["single"]
+
+
+def test_forest_draws_single_rows_at_any_size(spark, monkeypatch):
+    n = 1_000_001  # a million was the size beyond which cells were drawn
+    df = spark.range(n).select("id", (F.col("id") % 3).cast("string").alias("g"), (F.col("id") % 20).alias("s"))
+    df = df.withColumn("x", F.col("s") * 3.0 + F.pmod(F.xxhash64("id"), F.lit(1000)) / 10)
+    seen = []
+    kept = models.laid_out
+    monkeypatch.setattr(models, "laid_out", lambda learned, *rest: seen.append(learned.count()) or kept(learned, *rest))
+    size = models.TreeSize(trees=1, depth=1, partitions=8)
+    forest = models.train(df, "x", ["g"], ["s"], [models.FOREST], size, keys=["id"]).models[models.FOREST]
+    assert seen == [n] and forest.getNumTrees == 1
