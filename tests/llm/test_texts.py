@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -598,3 +599,18 @@ def test_toxicity_writes_no_texts(spark, tmp_path, monkeypatch):
     left = corpus_pipeline.drop_toxic(spark, spark.createDataFrame(rows * 2, DOCS), str(tmp_path))
     assert left.count() == 120
     assert written and not {"row", "text"} & {c for columns in written for c in columns}
+
+
+def test_repeats_are_found_without_leaving_shuffle_files(spark):
+    """Anchors and pieces of text are shuffled one after the other; the first are gone before the last are written."""
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    shuffled = lambda: {b for b in files.getAllFiles().mkString(",").split(",") if "shuffle" in b}
+    line = "a passage of some length that stands in two of the texts, word for word"
+    docs = [(1, f"first {line}"), (2, f"{line} second"), (3, "nothing of the kind")]
+    before = shuffled()
+    found = suffix_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string"))
+    end = time.time() + 30
+    while not shuffled() <= before and time.time() < end:
+        time.sleep(0.2)
+    assert shuffled() <= before
+    assert {r["row"]["doc_id"]: r["n_removed"] for r in found.collect()} == {1: 0, 2: len(line), 3: 0}
